@@ -85,10 +85,10 @@ def _absent(spark: SparkSession, name: str, file: str) -> list[str]:
 
 
 def view_cells(rows: DataFrame, name: str, absent: list[str] = ()) -> DataFrame:
-    """Cells of view rows; ``stamp`` and ``day`` are ours and no cells."""
+    """Cells of view rows; ``stamp`` is ours and no cell."""
     if name == "status_hourly":
         rows = keyed_status_hourly(rows)
-    return to_cells(rows, VIEWS[name].families, drop=("stamp", "day", *absent))
+    return to_cells(rows, VIEWS[name].families, drop=("stamp", *absent))
 
 
 def backfill(

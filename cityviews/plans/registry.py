@@ -27,18 +27,18 @@ class View:
 VIEWS = {
     view.spec.name: view
     for view in (
-        View(ViewSpec("weather_daily", S.WEATHER_DAILY_VIEW), V.weather_daily,
+        View(ViewSpec("weather_daily", S.WEATHER_DAILY_VIEW, period=4), V.weather_daily,
              S.WEATHER_DAILY_FEED, S.WEATHER_DAILY_FAMILIES, open_feed=True),
-        View(ViewSpec("weather_hourly", S.WEATHER_HOURLY_VIEW), V.weather_hourly,
+        View(ViewSpec("weather_hourly", S.WEATHER_HOURLY_VIEW, period=7), V.weather_hourly,
              S.WEATHER_HOURLY_FEED, S.WEATHER_HOURLY_FAMILIES, open_feed=True),
-        View(ViewSpec("information_daily", S.INFORMATION_DAILY_VIEW), V.information_daily,
-             S.INFORMATION_FEED, S.INFORMATION_FAMILIES),
+        View(ViewSpec("information_daily", S.INFORMATION_DAILY_VIEW, period=7),
+             V.information_daily, S.INFORMATION_FEED, S.INFORMATION_FAMILIES),
         View(ViewSpec("status_hourly", S.STATUS_HOURLY_VIEW, keys=("row_key", "legacy_id")),
              V.status_hourly, S.STATUS_HOURLY_FEED, S.STATUS_FAMILIES),
         View(ViewSpec("status_hourly_parts", S.STATUS_HOURLY_PARTS,
                       keys=("row_key", "stamp", "legacy_id", "station_id"), rule="add"),
              V.status_hourly_parts, S.STATUS_HOURLY_FEED, S.STATUS_FAMILIES),
-        View(ViewSpec("status_live", S.STATUS_LIVE_VIEW, daily=False),
+        View(ViewSpec("status_live", S.STATUS_LIVE_VIEW, period=None),
              V.status_live, S.STATUS_FEED, S.STATUS_FAMILIES),
     )
 }
@@ -48,4 +48,4 @@ def cells_spec(name: str, rule: str = "version") -> ViewSpec:
     """Stored form of a view kept as text cells instead of typed rows."""
     return ViewSpec(
         f"{name}_cells", S.CELLS, keys=("row_key", "col"),
-        daily=VIEWS[name].spec.daily, rule=rule)
+        period=VIEWS[name].spec.period, rule=rule)

@@ -3,20 +3,22 @@
 Layout of a view folder::
 
     heads/                              one row per publication: era, upto
-    log/era=E/batch=B/[day=D/]          the rows of one batch
-    base/era=E/upto=B/[day=D/]          merged rows of all batches up to B
+    log/era=E/batch=B/[period=P/]       the rows of one batch
+    base/era=E/upto=B/[period=P/]       merged rows of all batches up to B
 
 A batch is written whole into its own folder, so writing it again (a replay) replaces it
 and changes nothing else. A compaction or reset becomes visible only when its row lands
 in ``heads``; readers never see half of one. One writer per view at a time.
 
 The state is the newest base plus the batches after it, merged per key. Views whose keys
-start with a day are partitioned by it, and a filter on ``day`` reaches the folders.
+start with a day are partitioned by its year, month or day, whichever gives files of a
+fair size, and sorted by key, so reading a range of days opens only what it needs.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -31,13 +33,14 @@ class ViewSpec:
 
     ``rule`` is ``"version"`` (greatest version wins, replays of old files are harmless),
     ``"ingest"`` (the batch written last wins) or ``"add"`` (``*_sum`` and ``*_count``
-    columns are added up per key).
+    columns are added up per key). ``period`` is the number of leading characters of the
+    row key to partition by: 4 a year, 7 a month, 10 a day, None for keys without a date.
     """
 
     name: str
     schema: StructType
     keys: tuple[str, ...] = ("row_key",)
-    daily: bool = True
+    period: int | None = 10
     rule: str = "version"
 
     def __post_init__(self):
@@ -47,8 +50,8 @@ class ViewSpec:
     @property
     def stored(self) -> StructType:
         fields = [*self.schema.fields, StructField("batch", LongType())]
-        if self.daily:
-            fields.append(StructField("day", StringType()))
+        if self.period:
+            fields.append(StructField("period", StringType()))
         return StructType(fields)
 
 
@@ -77,13 +80,15 @@ def _publish(spark: SparkSession, path: str, head: Head, mode: str) -> None:
 
 
 def _writer(rows: DataFrame, spec: ViewSpec) -> DataFrameWriter:
-    # Rebalancing gathers a day into few files and splits a day too large for one.
-    if spec.daily:
-        rows = rows.withColumn("day", F.substring("row_key", 1, 10)).hint("rebalance", "day")
+    # Rebalancing gathers a period into few files and splits one too large for a task.
+    if spec.period is None:
+        rows = rows.hint("rebalance").sortWithinPartitions("row_key")
     else:
-        rows = rows.hint("rebalance")
+        rows = (
+            rows.withColumn("period", F.substring("row_key", 1, spec.period))
+            .hint("rebalance", "period").sortWithinPartitions("period", "row_key"))
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    return writer.partitionBy("day") if spec.daily else writer
+    return writer if spec.period is None else writer.partitionBy("period")
 
 
 def create_view(spark: SparkSession, spec: ViewSpec, path: str) -> None:
@@ -127,24 +132,41 @@ def _rows_until(
 
 
 def _merged(rows: DataFrame, spec: ViewSpec) -> DataFrame:
-    keys = [*spec.keys, *(["day"] if spec.daily else [])]
+    rows = rows.select(*spec.schema.fieldNames(), "batch")
     if spec.rule == "add":
         sums = [
             F.sum(c).alias(c) for c in spec.schema.fieldNames()
             if c.endswith(("_sum", "_count"))
         ]
-        return rows.groupBy(*keys).agg(
+        return rows.groupBy(*spec.keys).agg(
             *sums, F.max("version").alias("version"), F.max("batch").alias("batch"))
     order = ["version", "batch"] if spec.rule == "version" else ["batch", "version"]
-    return latest_rows(rows, keys, order)
+    return latest_rows(rows, spec.keys, order)
 
 
-def read_view(spark: SparkSession, spec: ViewSpec, path: str) -> DataFrame:
-    """The state of the view: one row per key, plus ``day`` for a daily view."""
-    head = view_head(spark, path)
-    merged = _merged(_rows_until(spark, spec, path, head, None), spec)
-    return merged.select(
-        *spec.schema.fieldNames(), *(["day"] if spec.daily else []))
+def _in_days(spec: ViewSpec, first: str, last: str):
+    """Predicate on folders and on sorted keys: the row key's day is in the range."""
+    if spec.period is None:
+        raise ValueError(f"keys of {spec.name} have no date")
+    after = (date.fromisoformat(last) + timedelta(days=1)).isoformat()
+    return (
+        F.col("period").between(first[:spec.period], last[:spec.period])
+        & (F.col("row_key") >= first) & (F.col("row_key") < after)
+    )
+
+
+def read_view(
+    spark: SparkSession,
+    spec: ViewSpec,
+    path: str,
+    first_day: str | None = None,
+    last_day: str | None = None,
+) -> DataFrame:
+    """The state of the view, one row per key; of a range of days if one is given."""
+    rows = _rows_until(spark, spec, path, view_head(spark, path), None)
+    if first_day is not None:
+        rows = rows.where(_in_days(spec, first_day, last_day or first_day))
+    return _merged(rows, spec).select(*spec.schema.fieldNames())
 
 
 def open_view(spark: SparkSession, spec: ViewSpec, path: str) -> DataFrame:
