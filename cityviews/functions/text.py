@@ -19,7 +19,7 @@ from pyspark.sql.types import (
 _WHOLE = (ByteType, ShortType, IntegerType, LongType)
 
 
-def _fewest_digits(x: Column) -> Column:
+def fewest_digits(x: Column) -> Column:
     """Text with the fewest digits that read back as ``x``.
 
     The JVM may print more digits than needed (2.0E23 comes out 17 digits long), so long
@@ -28,25 +28,28 @@ def _fewest_digits(x: Column) -> Column:
     """
     at15, at16, at17 = (F.format_string(form, x) for form in ("%.14e", "%.15e", "%.16e"))
     return (
-        F.when(F.length(x.cast("string")) < 17, x.cast("string"))
+        F.when(x.isNull(), F.lit(None))
+        .when(F.length(x.cast("string")) < 17, x.cast("string"))
         .when(at15.cast("double") == x, at15)
         .when(at16.cast("double") == x, at16)
         .otherwise(at17)
     )
 
 
-def double_text(x: Column) -> Column:
+def double_text(x: Column, digits: Column | None = None) -> Column:
     """Text of a double: plain for 1e-4 <= abs < 1e16, else with an exponent.
 
     Each step feeds the next one once; nesting them several times over would repeat the
-    number formatting in the generated code.
+    number formatting in the generated code. ``digits`` may be a column that holds
+    ``fewest_digits(x)`` already.
     """
     size = F.abs(x)
+    digits = fewest_digits(x) if digits is None else digits
     plain = F.regexp_replace(
-        _fewest_digits(x).cast("decimal(38,21)").cast("string"), r"(\.\d+?)0+$", "$1")
+        digits.cast("decimal(38,21)").cast("string"), r"(\.\d+?)0+$", "$1")
     # d.ddd000E20 -> d.ddde~20, then the sign and two exponent digits.
     powered = F.regexp_replace(
-        _fewest_digits(x), r"^(-?\d)(\.\d*?[1-9])?\.?0*[eE]\+?(-?)(\d+)$", "$1$2e$3~$4")
+        digits, r"^(-?\d)(\.\d*?[1-9])?\.?0*[eE]\+?(-?)(\d+)$", "$1$2e$3~$4")
     powered = F.replace(powered, F.lit("e~"), F.lit("e+~"))
     powered = F.replace(
         F.regexp_replace(powered, r"~(\d)$", "~0$1"), F.lit("~"), F.lit(""))

@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, StructField
 
-from cityviews.functions.text import py_text
+from cityviews.functions.text import double_text, fewest_digits, py_text
 from cityviews.operators.latest import latest_rows
 from cityviews.operators.shape import check_mapped
 
@@ -27,18 +28,31 @@ def to_cells(
     kept = {key, version, *drop}
     fields = [f for f in df.schema.fields if f.name not in kept]
     check_mapped([f.name for f in fields], families)
-    cells = F.array(*[
-        F.struct(
+
+    def cell(f: StructField) -> Column:
+        value = F.col(f"`{f.name}`")
+        number = isinstance(f.dataType, (DoubleType, FloatType))
+        return F.struct(
             F.lit(f"{families[f.name]}:{f.name}").alias("col"),
-            py_text(F.col(f"`{f.name}`"), f.dataType).alias("val"),
+            (F.lit(None) if number else py_text(value, f.dataType))
+            .cast("string").alias("text"),
+            (value if number else F.lit(None)).cast("double").alias("number"),
         )
-        for f in fields
-    ])
-    kept_columns = [F.col(key).cast("string").alias("row_key"), F.inline(cells)]
+
+    columns = [F.col(key).cast("string").alias("row_key")]
     if version is not None:
-        kept_columns.append(F.col(version).alias("version"))
-    columns = ["row_key", "col", "val"] + (["version"] if version is not None else [])
-    return df.select(*kept_columns).select(*columns)
+        columns.append(F.col(version).alias("version"))
+    cells = df.select(*columns, F.inline(F.array(*[cell(f) for f in fields])))
+    val = F.col("text")
+    if any(isinstance(f.dataType, (DoubleType, FloatType)) for f in fields):
+        # Doubles are turned to text after the columns became rows, so the generated code
+        # holds that long expression once and not once per column.
+        cells = cells.withColumn("digits", fewest_digits(F.col("number")))
+        number = F.when(
+            F.col("number").isNotNull(), double_text(F.col("number"), F.col("digits")))
+        val = F.coalesce(val, number, F.lit("None"))
+    return cells.select(
+        "row_key", "col", val.alias("val"), *(["version"] if version is not None else []))
 
 
 def latest_cells(cells: DataFrame, order: Sequence[str] = ("version",)) -> DataFrame:

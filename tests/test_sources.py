@@ -1,0 +1,105 @@
+from fixtures import rows, station, stations, status_file, write_file
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+
+from cityviews import schemas as S
+from cityviews.operators.shape import explode_entities
+from cityviews.plans.refresh import file_coverage
+from cityviews.sources import files
+
+
+def scanned_files(df):
+    """Number of files the scan opened."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return leaves.head().metrics().apply("numFiles").value()
+
+
+def folder_of_status(tmp_path):
+    folder = tmp_path / "station_status"
+    for stamp in ("2023-01-05_17-08-04-891", "2023-01-05_17-40-00-000",
+                  "2023-01-05_18-01-00-317", "2023-01-06_00-00-00-000"):
+        status_file(folder, stamp, stations(station(stamp)))
+    (folder / "notes_2024-01-01_00-00-00-000.txt").write_text("not a feed")
+    return str(folder)
+
+
+def test_list_and_latest(spark, tmp_path):
+    folder = folder_of_status(tmp_path)
+    assert files.list_files(spark, folder).count() == 4
+    assert files.latest_file(spark, folder).endswith(
+        "station_status_2023-01-06_00-00-00-000.parquet")
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    assert files.latest_file(spark, str(empty)) is None
+
+
+def test_hour_glob(spark, tmp_path):
+    folder = folder_of_status(tmp_path)
+    hour = files.read_payloads(spark, folder, S.STATUS_FEED, hour="2023-01-05_17")
+    assert rows(explode_entities(hour, "data.stations", ["station_id"])) == {
+        ("2023-01-05_17-08-04-891",), ("2023-01-05_17-40-00-000",)}
+    none = files.read_payloads(spark, folder, S.STATUS_FEED, hour="2023-01-05_16")
+    assert none.count() == 0 and none.columns == ["data", "stamp_ts"]
+
+
+def test_hour_range_opens_no_other_file(spark, tmp_path):
+    folder = folder_of_status(tmp_path)
+    some = files.read_payloads(
+        spark, folder, S.STATUS_FEED, first="2023-01-05_18", last="2023-01-06_00")
+    assert some.count() == 2
+    assert scanned_files(some) == 2
+    assert scanned_files(files.read_payloads(spark, folder, S.STATUS_FEED)) == 4
+
+
+def test_folder_name_with_another_hour_is_ignored(spark, tmp_path):
+    folder = tmp_path / "copy_2023-01-05_18-00-00-000"
+    status_file(folder, "2023-01-05_17-00-00-000", stations(station("s1")))
+    read = lambda hour: files.read_payloads(spark, str(folder), S.STATUS_FEED, hour=hour)
+    assert read("2023-01-05_18").count() == 0
+    assert read("2023-01-05_17").count() == 1
+
+
+def test_deep_folder_and_other_prefix(spark, tmp_path):
+    folder = tmp_path / "a" / "b" / "c"
+    status_file(folder, "2023-01-05_17-00-00-000", stations(station("s1")), prefix="poll")
+    found = files.read_payloads(spark, f"{tmp_path}/*/*/*", S.STATUS_FEED)
+    assert [str(r["stamp_ts"]) for r in found.collect()] == ["2023-01-05 17:00:00"]
+
+
+def test_scan_reads_only_the_needed_fields(spark, tmp_path, capsys):
+    folder = folder_of_status(tmp_path)
+    files.read_payloads(spark, folder, S.STATUS_HOURLY_FEED).explain("formatted")
+    schema = capsys.readouterr().out.split("ReadSchema: ")[1]
+    assert "num_bikes_available" in schema and "is_renting" not in schema
+
+
+def test_newest_payloads(spark, tmp_path):
+    payloads = files.read_payloads(spark, folder_of_status(tmp_path), S.STATUS_FEED)
+    newest = files.newest_payloads(payloads)
+    assert rows(explode_entities(newest, "data.stations", ["station_id"])) == {
+        ("2023-01-06_00-00-00-000",)}
+
+
+def test_drifting_types(spark, tmp_path):
+    drifted = StructType([StructField("data", StructType([StructField(
+        "stations", ArrayType(StructType([
+            StructField(f.name, DoubleType() if f.name == "num_bikes_available" else f.dataType)
+            for f in S.STATUS_FEED["data"].dataType["stations"].dataType.elementType.fields
+        ])))]))])
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    status_file(a, "2023-01-05_17-00-00-000", stations(station("s1", num_bikes_available=4)))
+    write_file(b, "station_status_2023-01-05_17-30-00-000",
+               [stations(station("s1", num_bikes_available=2.5))], drifted)
+    both = files.read_drifting(spark, {a: S.STATUS_FEED, b: drifted}, drifted)
+    entities = explode_entities(both, "data.stations", ["num_bikes_available"])
+    assert rows(entities) == {(4.0,), (2.5,)}
+    assert entities.agg(F.avg("num_bikes_available")).first()[0] == 3.25
+
+
+def test_coverage(spark, tmp_path):
+    counts = file_coverage(
+        spark, folder_of_status(tmp_path), "2023-01-05_16", "2023-01-05_18")
+    assert rows(counts) == {
+        ("2023-01-05_16", 0), ("2023-01-05_17", 2), ("2023-01-05_18", 1)}
