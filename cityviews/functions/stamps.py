@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 
 # Fixed value: files are named <feed>_<yyyy-MM-dd>_<HH-mm-ss-SSS>.parquet
 FILE_STAMP = r"_(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}-\d{3})\.[^/]*$"
-FILE_STAMP_FORMAT = "yyyy-MM-dd_HH-mm-ss-SSS"
+FILE_STAMP_PARTS = r"^.*_(\d{4}-\d{2}-\d{2})_(\d{2})-(\d{2})-(\d{2})-(\d{3})\.[^/]*$"
 # Fixed value: an hour stamp is yyyy-MM-dd_HH
 HOUR_STAMP = "%Y-%m-%d_%H"
 
 
 def file_stamp(path: Column) -> Column:
     """Time in the last part of ``path``; null if the name carries none."""
-    text = F.nullif(F.regexp_extract(path, FILE_STAMP, 1), F.lit(""))
-    return F.to_timestamp_ntz(text, F.lit(FILE_STAMP_FORMAT))
+    # One pass over the path; a path without a stamp stays as it is and is no time.
+    text = F.regexp_replace(path, FILE_STAMP_PARTS, "$1 $2:$3:$4.$5")
+    return text.try_cast("timestamp_ntz")
 
 
 def day_stamp(ts: Column) -> Column:

@@ -119,10 +119,13 @@ def q_explode_entities(spark, sf_dir):
 SELECT event_id, legacy_id, station_id, num_bikes_available FROM readings
 WHERE stamp = (SELECT max(strftime(ts, '%Y-%m-%d_%H')) FROM events)""")
 def q_latest_snapshot(spark, sf_dir):
-    path = feeds.hour_path(F.col("stamp_ts"))
-    paths = feeds.events(spark, sf_dir).select(path.alias("path"))
+    paths = feeds.events(spark, sf_dir).select(
+        feeds.hour_path(F.col("stamp_ts")).alias("path"))
     latest = newest(paths.select("path", stamps.file_stamp(F.col("path")).alias("stamp_ts")))
-    payloads = _status(spark, sf_dir).where(path == latest.select("path").scalar())
+    # The hour of the newest file, as a range that the scan can use.
+    start, ts = latest.select("stamp_ts").scalar(), F.col("stamp_ts")
+    payloads = _status(spark, sf_dir).where(
+        (ts >= start) & (ts < start + F.expr("INTERVAL 1 HOUR")))
     return shape.explode_entities(
         payloads, "data.stations", ["legacy_id", "station_id", "num_bikes_available"],
         keep=["event_id"])

@@ -70,7 +70,9 @@ def test_stamp_from_path(spark, path):
 
 
 def test_stamp_missing(spark):
-    assert one(spark, stamps.file_stamp(F.lit("/a_2023-01-05_17-08-04-891/x.parquet"))) is None
+    for path in ("/a_2023-01-05_17-08-04-891/x.parquet", "x_2023-13-05_17-08-04-891.parquet",
+                 "2023-01-05.parquet", ""):
+        assert one(spark, stamps.file_stamp(F.lit(path))) is None
 
 
 def test_previous_hour(spark):
