@@ -2,17 +2,18 @@
 
 Layout of a view folder::
 
-    heads/                              one row per publication: era, upto
+    heads/                              what is valid: era, upto, period
     log/era=E/batch=B/[period=P/]       the rows of one batch
     base/era=E/upto=B/[period=P/]       merged rows of all batches up to B
 
 A batch is written whole into its own folder, so writing it again (a replay) replaces it
-and changes nothing else. A compaction or reset becomes visible only when its row lands
-in ``heads``; readers never see half of one. One writer per view at a time.
+and changes nothing else. A compaction or reset becomes visible only when its one file
+lands in ``heads``; readers never see half of one. One writer per view at a time.
 
 The state is the newest base plus the batches after it, merged per key. Views whose keys
 start with a day are partitioned by its year, month or day, whichever gives files of a
-fair size, and sorted by key, so reading a range of days opens only what it needs.
+fair size, and sorted by key, so reading a range of days opens only what it needs. A
+compaction rewrites only periods with new rows; the base of the others stays valid.
 """
 
 from __future__ import annotations
@@ -55,6 +56,9 @@ class ViewSpec:
         return StructType(fields)
 
 
+HEADS = "era long, upto long, period string"
+
+
 @dataclass(frozen=True)
 class Head:
     era: int
@@ -65,18 +69,25 @@ def _log(path: str, era: int) -> str:
     return f"{path}/log/era={era}"
 
 
-def _base(path: str, head: Head) -> str:
-    return f"{path}/base/era={head.era}/upto={head.upto}"
+def _base(path: str, era: int) -> str:
+    return f"{path}/base/era={era}"
 
 
 def _empty(spark: SparkSession, spec: ViewSpec) -> DataFrame:
     return spark.createDataFrame([], spec.stored)
 
 
-def _publish(spark: SparkSession, path: str, head: Head, mode: str) -> None:
-    row = spark.range(0, 1, 1, 1).select(
-        F.lit(head.era).cast("long").alias("era"), F.lit(head.upto).cast("long").alias("upto"))
-    row.write.mode(mode).parquet(f"{path}/heads")
+def _publish(
+    spark: SparkSession, path: str, head: Head, mode: str, periods: DataFrame | None = None
+) -> None:
+    """One file: a row for the head itself and one per period with a new base."""
+    rows = spark.range(1).select(F.lit(None).cast("string").alias("period"))
+    if periods is not None:
+        rows = rows.unionByName(periods)
+    rows = rows.select(
+        F.lit(head.era).cast("long").alias("era"), F.lit(head.upto).cast("long").alias("upto"),
+        "period")
+    rows.coalesce(1).write.mode(mode).parquet(f"{path}/heads")
 
 
 def _writer(rows: DataFrame, spec: ViewSpec) -> DataFrameWriter:
@@ -97,9 +108,12 @@ def create_view(spark: SparkSession, spec: ViewSpec, path: str) -> None:
     _publish(spark, path, Head(0, -1), "ignore")
 
 
+def _heads(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(HEADS).parquet(f"{path}/heads")
+
+
 def view_head(spark: SparkSession, path: str) -> Head:
-    heads = spark.read.schema("era long, upto long").parquet(f"{path}/heads")
-    row = heads.agg(F.max(F.struct("era", "upto")).alias("head")).first()["head"]
+    row = _heads(spark, path).agg(F.max(F.struct("era", "upto")).alias("head")).first()["head"]
     return Head(row["era"], row["upto"])
 
 
@@ -114,21 +128,37 @@ def upsert_view(df: DataFrame, spec: ViewSpec, path: str, batch: int) -> None:
     _writer(rows, spec).parquet(f"{_log(path, head.era)}/batch={batch}")
 
 
-def _rows_until(
-    spark: SparkSession, spec: ViewSpec, path: str, head: Head, last: int | None
+def _log_rows(
+    spark: SparkSession, spec: ViewSpec, path: str, head: Head, last: int | None = None
 ) -> DataFrame:
-    columns = spec.stored.fieldNames()
+    """Rows of the batches that no base holds yet, up to batch ``last``."""
     log = (
         spark.read.schema(spec.stored).option("basePath", _log(path, head.era))
         .parquet(_log(path, head.era)).where(F.col("batch") > head.upto)
     )
     if last is not None:
         log = log.where(F.col("batch") <= last)
-    rows = log.select(*columns)
-    if head.upto >= 0:
-        base = spark.read.schema(spec.stored).parquet(_base(path, head))
-        rows = rows.unionByName(base.select(*columns))
-    return rows
+    return log.select(*spec.stored.fieldNames())
+
+
+def _base_rows(
+    spark: SparkSession, spec: ViewSpec, path: str, head: Head
+) -> DataFrame | None:
+    """Rows of the newest base of every period; None before the first compaction."""
+    if head.upto < 0:
+        return None
+    base = spark.read.schema(StructType([*spec.stored.fields, StructField("upto", LongType())]))
+    rows = base.option("basePath", _base(path, head.era)).parquet(_base(path, head.era))
+    if spec.period is None:
+        rows = rows.where(F.col("upto") == head.upto)
+    else:
+        # One row per period, so this is a small side and it prunes the folders read.
+        valid = (
+            _heads(spark, path).where((F.col("era") == head.era) & F.col("period").isNotNull())
+            .groupBy("period").agg(F.max("upto").alias("upto"))
+        )
+        rows = rows.join(valid, ["period", "upto"], "left_semi")
+    return rows.select(*spec.stored.fieldNames())
 
 
 def _merged(rows: DataFrame, spec: ViewSpec) -> DataFrame:
@@ -163,7 +193,10 @@ def read_view(
     last_day: str | None = None,
 ) -> DataFrame:
     """The state of the view, one row per key; of a range of days if one is given."""
-    rows = _rows_until(spark, spec, path, view_head(spark, path), None)
+    head = view_head(spark, path)
+    rows, base = _log_rows(spark, spec, path, head), _base_rows(spark, spec, path, head)
+    if base is not None:
+        rows = rows.unionByName(base)
     if first_day is not None:
         rows = rows.where(_in_days(spec, first_day, last_day or first_day))
     return _merged(rows, spec).select(*spec.schema.fieldNames())
@@ -179,7 +212,7 @@ def open_view(spark: SparkSession, spec: ViewSpec, path: str) -> DataFrame:
 def compact_view(
     spark: SparkSession, spec: ViewSpec, path: str, upto: int | None = None
 ) -> None:
-    """Merge all batches up to number ``upto`` (the last one) into a new base.
+    """Merge the batches up to number ``upto`` (the last one) into a new base.
 
     For a view fed by a stream give its last committed batch: a batch that may still be
     replayed must stay in the log. Folders of merged batches are no longer read and can
@@ -187,15 +220,19 @@ def compact_view(
     """
     head = view_head(spark, path)
     if upto is None:
-        batches = _rows_until(spark, spec, path, Head(head.era, -1), None)
-        upto = batches.agg(F.max("batch")).first()[0]
+        upto = _log_rows(spark, spec, path, head).agg(F.max("batch")).first()[0]
     if upto is None or upto <= head.upto:
         return
-    merged = _merged(_rows_until(spark, spec, path, head, upto), spec)
-    rows = merged.select(*spec.schema.fieldNames(), "batch")
-    published = Head(head.era, upto)
-    _writer(rows, spec).parquet(_base(path, published))
-    _publish(spark, path, published, "append")
+    rows = fresh = _log_rows(spark, spec, path, head, upto)
+    touched = None if spec.period is None else fresh.select("period").distinct()
+    base = _base_rows(spark, spec, path, head)
+    if base is not None:
+        if touched is not None:
+            base = base.join(touched, "period", "left_semi")
+        rows = rows.unionByName(base)
+    merged = _merged(rows, spec).select(*spec.schema.fieldNames(), "batch")
+    _writer(merged, spec).parquet(f"{_base(path, head.era)}/upto={upto}")
+    _publish(spark, path, Head(head.era, upto), "append", touched)
 
 
 def reset_view(spark: SparkSession, spec: ViewSpec, path: str) -> None:
@@ -204,5 +241,5 @@ def reset_view(spark: SparkSession, spec: ViewSpec, path: str) -> None:
     old = view_head(spark, path)
     _empty(spark, spec).write.mode("overwrite").parquet(_log(path, old.era + 1))
     _publish(spark, path, Head(old.era + 1, -1), "append")
-    for folder in (_log(path, old.era), f"{path}/base/era={old.era}"):
+    for folder in (_log(path, old.era), _base(path, old.era)):
         _empty(spark, spec).write.mode("overwrite").parquet(folder)

@@ -78,6 +78,37 @@ def test_compaction_keeps_the_state(spark, tmp_path, rule):
         store.upsert_view(frame(spark), spec, path, 2)
 
 
+def test_compaction_rewrites_only_periods_with_new_rows(spark, tmp_path):
+    path = str(tmp_path / "v")
+    store.create_view(spark, SPEC, path)
+    store.upsert_view(
+        frame(spark, ("2023-01-01_a", 1, 1), ("2023-02-01_b", 1, 1)), SPEC, path, 0)
+    store.compact_view(spark, SPEC, path)
+    store.upsert_view(
+        frame(spark, ("2023-02-01_b", 2, 2), ("2023-03-01_c", 1, 1)), SPEC, path, 1)
+    store.compact_view(spark, SPEC, path)
+    expected = {("2023-01-01_a", 1), ("2023-02-01_b", 2), ("2023-03-01_c", 1)}
+    assert state(spark, path) == expected
+    bases = sorted(str(p.relative_to(path)) for p in Path(path).glob("base/*/*/period=*"))
+    assert bases == [
+        "base/era=0/upto=0/period=2023-01", "base/era=0/upto=0/period=2023-02",
+        "base/era=0/upto=1/period=2023-02", "base/era=0/upto=1/period=2023-03"]
+    assert rows(store.read_view(spark, SPEC, path, "2023-02-01"), "n") == {(2,)}
+    # A key that is only in the replaced base is gone with it: nothing else reads it.
+    store.upsert_view(frame(spark, ("2023-01-01_a", 5, 5)), SPEC, path, 2)
+    assert ("2023-01-01_a", 5) in state(spark, path)
+
+
+def test_a_compaction_of_empty_batches(spark, tmp_path):
+    path = str(tmp_path / "v")
+    store.create_view(spark, SPEC, path)
+    store.upsert_view(frame(spark, ("2023-01-01_a", 1, 1)), SPEC, path, 0)
+    store.upsert_view(frame(spark), SPEC, path, 1)
+    store.compact_view(spark, SPEC, path, upto=0)
+    store.compact_view(spark, SPEC, path, upto=1)
+    assert state(spark, path) == {("2023-01-01_a", 1)}
+
+
 def test_unpublished_compaction_is_not_seen(spark, tmp_path):
     path = str(tmp_path / "v")
     store.create_view(spark, SPEC, path)
