@@ -67,8 +67,8 @@ def status_feed(numbered_events: DataFrame) -> DataFrame:
         "station_status": "'type'",
     }
     stations = F.array(_entity(S.STATUS_FEED, user), _entity(S.STATUS_FEED, kind))
-    stations = F.when(F.expr("k % 25 = 0"), F.slice(stations, 1, 0)).when(
-        F.expr("k % 25 > 1"), stations)
+    none = F.array().cast(S.STATUS_FEED["data"].dataType["stations"].dataType)
+    stations = F.when(F.expr("k % 25 > 1"), stations).when(F.expr("k % 25 = 0"), none)
     return numbered_events.select(
         "event_id", "stamp_ts", F.struct(stations.alias("stations")).alias("data"))
 
@@ -105,7 +105,8 @@ def hourly_feed(embeddings: DataFrame) -> DataFrame:
         "MINUTE", minutes, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     stamped = embeddings.select("vec_id", "embedding", stamp.alias("stamp_ts"))
     day = day_stamp(F.col("stamp_ts"))
-    hours = F.array(*[F.concat(day, F.lit(f"T{h:02d}:00")) for h in range(24)])
+    times = F.lit(",".join(f"@T{h:02d}:00" for h in range(24)))
+    hours = F.split(F.replace(times, F.lit("@"), day), ",")
     metrics = [
         F.slice("embedding", 1 + 5 * j, 24).cast("array<double>").alias(c)
         for j, c in enumerate(S.WEATHER_HOURLY_METRICS)

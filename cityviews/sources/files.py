@@ -24,9 +24,9 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def newest(paths: DataFrame) -> DataFrame:
     """One row with the path of the greatest stamp; no row without a stamped path."""
-    best = paths.where("stamp_ts IS NOT NULL").agg(
-        F.max(F.struct("stamp_ts", "path")).alias("best"))
-    return best.where("best IS NOT NULL").select("best.path", "best.stamp_ts")
+    # A path without a stamp is lowest, so it only wins where no path has one.
+    best = paths.agg(F.max(F.struct("stamp_ts", "path")).alias("best"))
+    return best.where("best.stamp_ts IS NOT NULL").select("best.path", "best.stamp_ts")
 
 
 def latest_file(spark: SparkSession, folder: str) -> str | None:
