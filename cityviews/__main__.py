@@ -46,9 +46,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     refresh.add_argument("--cells", action="store_true")
     refresh.add_argument("--batch", type=int)
     command("backfill", "view", "folder", "path", "first", "last").add_argument(
-        "--batch", type=int, default=0)
-    command("follow", "view", "folder", "path", "checkpoint").add_argument(
-        "--files-per-batch", type=int)
+        "--batch", type=int)
+    follow = command("follow", "view", "folder", "path", "checkpoint")
+    follow.add_argument("--files-per-batch", type=int)
+    follow.add_argument("--compact-every", type=int)
     gaps = command("gaps", "folder", "first", "last")
     gaps.add_argument("--rows", type=int, default=1000)
     show = command("show", "view", "path")
@@ -68,7 +69,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         backfill(spark, args.view, args.folder, args.path, args.first, args.last, args.batch)
     elif args.command == "follow":
         payloads = stream_payloads(spark, args.folder, view.feed, args.files_per_batch)
-        refresh_stream(payloads, view, args.path, args.checkpoint).awaitTermination()
+        refresh_stream(
+            payloads, view, args.path, args.checkpoint, args.compact_every
+        ).awaitTermination()
     elif args.command == "gaps":
         counts = file_coverage(spark, args.folder, args.first, args.last)
         counts.where("n = 0").orderBy("stamp").show(args.rows, truncate=False)

@@ -50,8 +50,7 @@ def view_rows(spark: SparkSession, name: str, file: str) -> DataFrame:
 def refresh_from_file(
     spark: SparkSession, name: str, file: str, path: str, batch: int | None = None
 ) -> None:
-    """Upsert what ``file`` brings; its stamp is the batch number unless one is given."""
-    batch = int(re.sub(r"\D", "", _file_stamp(file))) if batch is None else batch
+    """Upsert what ``file`` brings, as a new batch unless a number is given."""
     create_view(spark, VIEWS[name].spec, path)
     upsert_view(view_rows(spark, name, file), VIEWS[name].spec, path, batch)
 
@@ -68,7 +67,6 @@ def refresh_cells_from_file(
 
     Fields that the file lacks bring no cell, so older values of them stay.
     """
-    batch = int(re.sub(r"\D", "", _file_stamp(file))) if batch is None else batch
     spec = cells_spec(name, rule)
     create_view(spark, spec, path)
     upsert_view(
@@ -98,9 +96,9 @@ def backfill(
     path: str,
     first: str,
     last: str,
-    batch: int,
+    batch: int | None = None,
 ) -> None:
-    """Upsert the files of the hours ``first`` to ``last`` in one job."""
+    """Upsert the files of the hours ``first`` to ``last`` in one job, as one batch."""
     view = VIEWS[name]
     create_view(spark, view.spec, path)
     rows = view.build(_payloads(spark, view, folder, first=first, last=last))

@@ -117,10 +117,28 @@ def view_head(spark: SparkSession, path: str) -> Head:
     return Head(row["era"], row["upto"])
 
 
-def upsert_view(df: DataFrame, spec: ViewSpec, path: str, batch: int) -> None:
-    """Write the rows of ``df`` as batch number ``batch``; the same number replaces it."""
+def next_batch(spark: SparkSession, spec: ViewSpec, path: str) -> int:
+    """The number after all batches so far."""
+    head = view_head(spark, path)
+    last = _log_rows(spark, spec, path, head).agg(F.max("batch")).first()[0]
+    return (head.upto if last is None else last) + 1
+
+
+def upsert_view(
+    df: DataFrame, spec: ViewSpec, path: str, batch: int | None = None
+) -> None:
+    """Write the rows of ``df`` as one batch.
+
+    Without a number it is a new batch, the last one. With the number of an earlier batch
+    it replaces that one, which is how a retry stays without effect; under the rule
+    ``"add"``, where a second copy would count twice, a number is required.
+    """
     spark = df.sparkSession
     head = view_head(spark, path)
+    if batch is None:
+        if spec.rule == "add":
+            raise ValueError(f"{spec.name} adds batches up, so a batch needs a number")
+        batch = next_batch(spark, spec, path)
     if batch < 0 or batch <= head.upto:
         raise ValueError(
             f"batch {batch} of {spec.name} is negative or compacted (up to {head.upto})")

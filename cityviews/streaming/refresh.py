@@ -2,27 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cityviews.plans.registry import View
-from cityviews.sinks.store import create_view, upsert_view, view_head
+from cityviews.sinks.store import (
+    ViewSpec,
+    compact_view,
+    create_view,
+    next_batch,
+    upsert_view,
+)
+
+
+def _first_batch(spark: SparkSession, spec: ViewSpec, path: str, checkpoint: str) -> int:
+    """Number of the stream's first batch: after all others when the stream first started.
+
+    It is kept with the checkpoint, so a restarted stream counts on from the same number
+    and a stream with a new checkpoint does not replace batches of an older one.
+    """
+    folder = f"{checkpoint}/first_batch"
+    number = F.lit(next_batch(spark, spec, path)).cast("long").alias("batch")
+    spark.range(1).coalesce(1).select(number).write.mode("ignore").parquet(folder)
+    return spark.read.schema("batch long").parquet(folder).first()["batch"]
 
 
 def refresh_stream(
-    payloads: DataFrame, view: View, path: str, checkpoint: str
+    payloads: DataFrame,
+    view: View,
+    path: str,
+    checkpoint: str,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Upsert every micro-batch of a payload stream into a stored view, then stop.
 
     The checkpoint remembers which files are done. A micro-batch is written under its own
     number, so one that is replayed after a failure replaces itself. Each micro-batch
-    reads only its own files; the stored view is merged when it is read.
+    reads only its own files; the stored view is merged when it is read. With
+    ``compact_every`` the batches before every so many are compacted; they are committed
+    by then and will not be replayed.
     """
     create_view(payloads.sparkSession, view.spec, path)
+    first = _first_batch(payloads.sparkSession, view.spec, path, checkpoint)
 
     def publish(batch: DataFrame, number: int) -> None:
-        if number > view_head(batch.sparkSession, path).upto:
-            upsert_view(view.build(batch), view.spec, path, number)
+        if compact_every and number and number % compact_every == 0:
+            compact_view(batch.sparkSession, view.spec, path, upto=first + number - 1)
+        upsert_view(view.build(batch), view.spec, path, first + number)
 
     return (
         payloads.writeStream.foreachBatch(publish)

@@ -58,6 +58,18 @@ def test_a_batch_written_again_replaces_itself(spark, tmp_path):
     assert state(spark, path) == {("2023-01-01_a", 3)}
 
 
+def test_a_batch_without_a_number_is_a_new_one(spark, tmp_path):
+    path = str(tmp_path / "v")
+    store.create_view(spark, SPEC, path)
+    for n in (1, 2, 3):
+        store.upsert_view(frame(spark, (f"2023-01-01_{n}", n, 1)), SPEC, path)
+        if n == 2:
+            store.compact_view(spark, SPEC, path)
+    assert len(state(spark, path)) == 3 and store.next_batch(spark, SPEC, path) == 3
+    with pytest.raises(ValueError, match="needs a number"):
+        store.upsert_view(frame(spark), ViewSpec("x", SCHEMA, rule="add"), path)
+
+
 @pytest.mark.parametrize("rule", ["version", "ingest"])
 def test_compaction_keeps_the_state(spark, tmp_path, rule):
     spec, path = ViewSpec("sample", SCHEMA, period=7, rule=rule), str(tmp_path / "v")
@@ -189,9 +201,8 @@ def test_ingest_rule_lets_a_replayed_file_win(spark, tmp_path):
     path = str(tmp_path / "view")
     newer = status_file(tmp_path, "2023-01-05_18-00-00-000", stations(station("s1", "new")))
     older = status_file(tmp_path, "2023-01-05_17-00-00-000", stations(station("s1", "old")))
-    for batch, file in enumerate((newer, older)):
-        refresh.refresh_cells_from_file(
-            spark, "status_live", file, path, batch=batch, rule="ingest")
+    for file in (newer, older):
+        refresh.refresh_cells_from_file(spark, "status_live", file, path, rule="ingest")
     cells = store.read_view(spark, cells_spec("status_live", "ingest"), path)
     assert rows(cells.where("col = 'id:legacy_id'"), "val") == {("old",)}
 
@@ -212,8 +223,9 @@ def test_backfill(spark, tmp_path):
     folder, path = tmp_path / "hourly_weather", str(tmp_path / "view")
     for hour in (16, 17, 18, 19):
         hourly_file(folder, f"2023-01-05_{hour}-01-00-000", hourly_forecast("2023-01-05"))
-    refresh.backfill(spark, "weather_hourly", str(folder), path,
-                     "2023-01-05_17", "2023-01-05_18", batch=0)
+    for hour in (17, 18):
+        refresh.backfill(spark, "weather_hourly", str(folder), path,
+                         f"2023-01-05_{hour}", f"2023-01-05_{hour}")
     assert rows(store.read_view(spark, VIEWS["weather_hourly"].spec, path), "row_key", "rain") == {
         ("2023-01-05T17:00", 47.0), ("2023-01-05T18:00", 48.0)}
 

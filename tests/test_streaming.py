@@ -7,12 +7,10 @@ from cityviews.sources.files import read_payloads, stream_payloads
 from cityviews.streaming.refresh import refresh_stream
 
 
-def run(spark, name, feed, path, checkpoint, files_per_batch=1):
+def run(spark, name, feed, path, checkpoint, files_per_batch=1, compact_every=None):
     view = VIEWS[name]
-    query = refresh_stream(
-        stream_payloads(spark, feed, view.feed, files_per_batch), view, path, checkpoint)
-    query.awaitTermination()
-    return query
+    payloads = stream_payloads(spark, feed, view.feed, files_per_batch)
+    refresh_stream(payloads, view, path, checkpoint, compact_every).awaitTermination()
 
 
 def poll(folder, hour, minute, **values):
@@ -61,3 +59,27 @@ def test_a_run_without_new_files_changes_nothing(spark, tmp_path):
     before = rows(read_view(spark, VIEWS["status_live"].spec, path))
     run(spark, "status_live", feed, path, str(tmp_path / "checkpoint"))
     assert rows(read_view(spark, VIEWS["status_live"].spec, path)) == before
+
+
+def test_two_feeds_into_one_view(spark, tmp_path):
+    """Each stream counts its batches from 0; neither replaces those of the other."""
+    path, view = str(tmp_path / "view"), VIEWS["status_hourly_parts"]
+    for feed, hours in (("a", (16, 17)), ("b", (18, 19))):
+        for hour in hours:
+            poll(str(tmp_path / feed), hour, 30)
+    for feed in ("a", "b", "a"):
+        run(spark, "status_hourly_parts", str(tmp_path / feed), path, str(tmp_path / f"c{feed}"))
+    streamed = views.status_hourly_from_parts(read_view(spark, view.spec, path))
+    whole = views.status_hourly(read_payloads(spark, f"{tmp_path}/[ab]", view.feed))
+    assert rows(streamed) == rows(whole) and whole.count() == 8
+
+
+def test_compaction_while_streaming(spark, tmp_path):
+    feed, path = str(tmp_path / "feed"), str(tmp_path / "view")
+    for minute in (5, 10, 15, 20, 25):
+        poll(feed, 17, minute)
+    view = VIEWS["status_hourly_parts"]
+    run(spark, "status_hourly_parts", feed, path, str(tmp_path / "checkpoint"), compact_every=2)
+    assert view_head(spark, path).upto == 3
+    streamed = views.status_hourly_from_parts(read_view(spark, view.spec, path))
+    assert rows(streamed) == rows(views.status_hourly(read_payloads(spark, feed, view.feed)))
