@@ -2,9 +2,9 @@
 
 Layout of a view folder::
 
-    heads/                              what is valid: era, upto, period
-    log/era=E/batch=B/[period=P/]       the rows of one batch
-    base/era=E/upto=B/[period=P/]       merged rows of all batches up to B
+    heads/                                   what is valid: era, upto, period
+    log/era=E/batch=B/source=S/[period=P/]   the rows of one batch
+    base/era=E/upto=B/[period=P/]            merged rows of all batches up to B
 
 A batch is written whole into its own folder, so writing it again (a replay) replaces it
 and changes nothing else. A compaction or reset becomes visible only when its one file
@@ -117,6 +117,23 @@ def view_head(spark: SparkSession, path: str) -> Head:
     return Head(row["era"], row["upto"])
 
 
+def _log_files(spark: SparkSession, spec: ViewSpec, path: str, head: Head) -> DataFrame:
+    """All batches of the era, compacted or not, with ``source``."""
+    stored = StructType([*spec.stored.fields, StructField("source", StringType())])
+    log = _log(path, head.era)
+    return spark.read.schema(stored).option("basePath", log).parquet(log)
+
+
+def _log_rows(
+    spark: SparkSession, spec: ViewSpec, path: str, head: Head, last: int | None = None
+) -> DataFrame:
+    """Rows of the batches that no base holds yet, up to batch ``last``."""
+    log = _log_files(spark, spec, path, head).where(F.col("batch") > head.upto)
+    if last is not None:
+        log = log.where(F.col("batch") <= last)
+    return log.select(*spec.stored.fieldNames())
+
+
 def next_batch(spark: SparkSession, spec: ViewSpec, path: str) -> int:
     """The number after all batches so far."""
     head = view_head(spark, path)
@@ -124,14 +141,24 @@ def next_batch(spark: SparkSession, spec: ViewSpec, path: str) -> int:
     return (head.upto if last is None else last) + 1
 
 
+def source_batch(spark: SparkSession, spec: ViewSpec, path: str, source: str) -> int | None:
+    """Number of the batch that ``source`` wrote; None if it wrote none."""
+    log = _log_files(spark, spec, path, view_head(spark, path))
+    return log.where(F.col("source") == source).agg(F.max("batch")).first()[0]
+
+
 def upsert_view(
-    df: DataFrame, spec: ViewSpec, path: str, batch: int | None = None
+    df: DataFrame,
+    spec: ViewSpec,
+    path: str,
+    batch: int | None = None,
+    source: str = "direct",
 ) -> None:
     """Write the rows of ``df`` as one batch.
 
     Without a number it is a new batch, the last one. With the number of an earlier batch
-    it replaces that one, which is how a retry stays without effect; under the rule
-    ``"add"``, where a second copy would count twice, a number is required.
+    of the same source it replaces that one, which is how a retry stays without effect;
+    under the rule ``"add"``, where a second copy would count twice, a number is required.
     """
     spark = df.sparkSession
     head = view_head(spark, path)
@@ -143,20 +170,23 @@ def upsert_view(
         raise ValueError(
             f"batch {batch} of {spec.name} is negative or compacted (up to {head.upto})")
     rows = df.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema.fields])
-    _writer(rows, spec).parquet(f"{_log(path, head.era)}/batch={batch}")
+    _writer(rows, spec).parquet(f"{_log(path, head.era)}/batch={batch}/source={source}")
 
 
-def _log_rows(
-    spark: SparkSession, spec: ViewSpec, path: str, head: Head, last: int | None = None
-) -> DataFrame:
-    """Rows of the batches that no base holds yet, up to batch ``last``."""
-    log = (
-        spark.read.schema(spec.stored).option("basePath", _log(path, head.era))
-        .parquet(_log(path, head.era)).where(F.col("batch") > head.upto)
-    )
-    if last is not None:
-        log = log.where(F.col("batch") <= last)
-    return log.select(*spec.stored.fieldNames())
+def upsert_once(df: DataFrame, spec: ViewSpec, path: str, source: str) -> None:
+    """Write the rows of ``df``, which ``source`` names, so that they count once.
+
+    The name is stored with the rows. If it is there already, from a run that failed after
+    or while writing, its batch is replaced; if that batch is compacted, nothing is left
+    to do.
+    """
+    spark = df.sparkSession
+    batch = source_batch(spark, spec, path, source)
+    if batch is None:
+        batch = next_batch(spark, spec, path)
+    elif batch <= view_head(spark, path).upto:
+        return
+    upsert_view(df, spec, path, batch, source)
 
 
 def _base_rows(
@@ -232,9 +262,10 @@ def compact_view(
 ) -> None:
     """Merge the batches up to number ``upto`` (the last one) into a new base.
 
-    For a view fed by a stream give its last committed batch: a batch that may still be
-    replayed must stay in the log. Folders of merged batches are no longer read and can
-    be removed with the file system's own tools.
+    Not for a view whose stream has failed and not yet run again: a batch that will be
+    replayed must stay in the log. Folders of merged batches hold no rows that are read
+    any more and can be removed with the file system's own tools, but for those of a
+    stream's last run.
     """
     head = view_head(spark, path)
     if upto is None:

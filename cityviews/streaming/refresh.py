@@ -2,30 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cityviews.plans.registry import View
-from cityviews.sinks.store import (
-    ViewSpec,
-    compact_view,
-    create_view,
-    next_batch,
-    upsert_view,
-)
-
+from cityviews.sinks.store import compact_view, create_view, source_batch, upsert_once
 
-def _first_batch(spark: SparkSession, spec: ViewSpec, path: str, checkpoint: str) -> int:
-    """Number of the stream's first batch: after all others when the stream first started.
 
-    It is kept with the checkpoint, so a restarted stream counts on from the same number
-    and a stream with a new checkpoint does not replace batches of an older one.
-    """
-    folder = f"{checkpoint}/first_batch"
-    number = F.lit(next_batch(spark, spec, path)).cast("long").alias("batch")
-    spark.range(1).coalesce(1).select(number).write.mode("ignore").parquet(folder)
-    return spark.read.schema("batch long").parquet(folder).first()["batch"]
+def _stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """A name kept with the checkpoint: the same after a restart, new with a new one."""
+    folder = f"{checkpoint}/stream_name"
+    name = F.lit(uuid.uuid4().hex).alias("name")
+    spark.range(1).coalesce(1).select(name).write.mode("ignore").parquet(folder)
+    return spark.read.schema("name string").parquet(folder).first()["name"]
 
 
 def refresh_stream(
@@ -37,19 +29,23 @@ def refresh_stream(
 ) -> StreamingQuery:
     """Upsert every micro-batch of a payload stream into a stored view, then stop.
 
-    The checkpoint remembers which files are done. A micro-batch is written under its own
-    number, so one that is replayed after a failure replaces itself. Each micro-batch
-    reads only its own files; the stored view is merged when it is read. With
-    ``compact_every`` the batches before every so many are compacted; they are committed
-    by then and will not be replayed.
+    The checkpoint remembers which files are done. A micro-batch is stored under the name
+    of the stream and its number there, so one that is replayed after a failure replaces
+    itself and nothing else. Each micro-batch reads only its own files; the stored view is
+    merged when it is read. ``compact_every`` compacts before every so many batches.
     """
-    create_view(payloads.sparkSession, view.spec, path)
-    first = _first_batch(payloads.sparkSession, view.spec, path, checkpoint)
+    spark = payloads.sparkSession
+    create_view(spark, view.spec, path)
+    stream = _stream_name(spark, checkpoint)
 
     def publish(batch: DataFrame, number: int) -> None:
+        source = f"{stream}-{number}"
+        session = batch.sparkSession
         if compact_every and number and number % compact_every == 0:
-            compact_view(batch.sparkSession, view.spec, path, upto=first + number - 1)
-        upsert_view(view.build(batch), view.spec, path, first + number)
+            # All batches in the log are whole, unless this one is a replay.
+            if source_batch(session, view.spec, path, source) is None:
+                compact_view(session, view.spec, path)
+        upsert_once(view.build(batch), view.spec, path, source)
 
     return (
         payloads.writeStream.foreachBatch(publish)

@@ -70,6 +70,27 @@ def test_a_batch_without_a_number_is_a_new_one(spark, tmp_path):
         store.upsert_view(frame(spark), ViewSpec("x", SCHEMA, rule="add"), path)
 
 
+def test_a_named_source_counts_once(spark, tmp_path):
+    path, spec = str(tmp_path / "v"), VIEWS["status_hourly_parts"].spec
+    file = status_file(tmp_path / "feed", "2023-01-05_17-00-00-000",
+                       stations(station("s1", num_bikes_available=3)))
+    parts = VIEWS["status_hourly_parts"].build(
+        read_payloads(spark, file, VIEWS["status_hourly_parts"].feed))
+    count = lambda: rows(
+        store.read_view(spark, spec, path), "num_bikes_available_count")
+    store.create_view(spark, spec, path)
+    for source in ("a-0", "b-0", "a-0", "b-0"):
+        store.upsert_once(parts, spec, path, source)
+    assert count() == {(2,)}
+    store.compact_view(spark, spec, path)
+    store.upsert_once(parts, spec, path, "a-0")
+    assert count() == {(2,)}
+    # The next number of one source does not replace a batch of the other.
+    for source in ("a-1", "b-1", "a-1"):
+        store.upsert_once(parts, spec, path, source)
+    assert count() == {(4,)}
+
+
 @pytest.mark.parametrize("rule", ["version", "ingest"])
 def test_compaction_keeps_the_state(spark, tmp_path, rule):
     spec, path = ViewSpec("sample", SCHEMA, period=7, rule=rule), str(tmp_path / "v")

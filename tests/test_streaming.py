@@ -62,16 +62,17 @@ def test_a_run_without_new_files_changes_nothing(spark, tmp_path):
 
 
 def test_two_feeds_into_one_view(spark, tmp_path):
-    """Each stream counts its batches from 0; neither replaces those of the other."""
+    """Both streams count their batches from 0; neither replaces those of the other."""
     path, view = str(tmp_path / "view"), VIEWS["status_hourly_parts"]
     for feed, hours in (("a", (16, 17)), ("b", (18, 19))):
         for hour in hours:
             poll(str(tmp_path / feed), hour, 30)
-    for feed in ("a", "b", "a"):
+    for feed in ("a", "b", "a", "b"):
         run(spark, "status_hourly_parts", str(tmp_path / feed), path, str(tmp_path / f"c{feed}"))
+        poll(str(tmp_path / feed), 20, 40 if feed == "a" else 50)
     streamed = views.status_hourly_from_parts(read_view(spark, view.spec, path))
     whole = views.status_hourly(read_payloads(spark, f"{tmp_path}/[ab]", view.feed))
-    assert rows(streamed) == rows(whole) and whole.count() == 8
+    assert rows(streamed) == rows(whole) and whole.count() == 11
 
 
 def test_compaction_while_streaming(spark, tmp_path):
