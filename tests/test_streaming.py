@@ -1,8 +1,10 @@
+import pytest
 from fixtures import rows, station, stations, status_file
+from pyspark.errors import StreamingQueryException
 
 from cityviews.plans import views
 from cityviews.plans.registry import VIEWS
-from cityviews.sinks.store import compact_view, read_view, view_head
+from cityviews.sinks.store import compact_view, read_view, upsert_once, view_head
 from cityviews.sources.files import read_payloads, stream_payloads
 from cityviews.streaming.refresh import refresh_stream
 
@@ -84,3 +86,24 @@ def test_compaction_while_streaming(spark, tmp_path):
     assert view_head(spark, path).upto == 3
     streamed = views.status_hourly_from_parts(read_view(spark, view.spec, path))
     assert rows(streamed) == rows(views.status_hourly(read_payloads(spark, feed, view.feed)))
+
+
+def test_a_batch_that_failed_after_its_write_counts_once(spark, tmp_path, monkeypatch):
+    feed, path = str(tmp_path / "feed"), str(tmp_path / "view")
+    view, failures = VIEWS["status_hourly_parts"], []
+    for minute in (5, 10, 15):
+        poll(feed, 17, minute)
+
+    def fail_once(df, spec, path, source):
+        upsert_once(df, spec, path, source)
+        if source.endswith("-1") and not failures:
+            failures.append(source)
+            raise RuntimeError("lost after the write")
+
+    monkeypatch.setattr("cityviews.streaming.refresh.upsert_once", fail_once)
+    with pytest.raises(StreamingQueryException):
+        run(spark, "status_hourly_parts", feed, path, str(tmp_path / "checkpoint"))
+    run(spark, "status_hourly_parts", feed, path, str(tmp_path / "checkpoint"))
+    assert len(failures) == 1
+    streamed = views.status_hourly_from_parts(read_view(spark, view.spec, path))
+    assert rows(streamed) == rows(views.status_hourly(read_payloads(spark, feed, view.feed)))
