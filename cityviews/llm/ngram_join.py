@@ -9,7 +9,8 @@ A document is the set of its distinct word shingles. Two link when
    (the first shingles in that order, enough that linked sets must share one) one group.
 3. Groups that share a prefix shingle are compared, by size and by a 512-bit parity map whose
    Hamming distance never exceeds the symmetric difference. No set is needed for that.
-4. First only a spanning forest of the remaining group pairs is expanded to members and verified
+4. Of a pair that is left, wider parity maps, of about a bit per shingle, are compared.
+5. First only a spanning forest of the remaining group pairs is expanded to members and verified
    on whole sets. Then every remaining pair is whose sides are not yet in one component. So no
    link is lost, and a crowd of near copies doesn't make all its pairs.
 
@@ -34,7 +35,7 @@ from cityviews.llm.components import roots
 from cityviews.llm.wordblocks import distinct, shingles
 
 CELLS = 1 << 20       # counters of the tally, 4 MB
-MAP_BYTES = 64        # size of a parity map
+MAP_BYTES = 64        # size of a parity map in the lists
 BLOCK = 1024          # groups compared at a time in one list
 GROUP = 16            # classes that a group may hold; larger ones are kept as single classes
 FIRST = 8             # prefix shingles that tell in which list a pair is reported
@@ -49,7 +50,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, per_cent: int = 90) -> D
 
     classes = rows.where("doc_id is not null and cls is not null").groupBy("cls").agg(
         F.min("doc_id").alias("rep"),
-        F.first(F.struct("n", "gid", "prefix", "bits")).alias("f"))
+        F.first(F.struct("n", "gid", "prefix", "bits", "wide")).alias("f"))
     classes = saved(
         classes.select(F.monotonically_increasing_id().alias("cid"), "cls", "rep", "f.*"), "classes")
 
@@ -112,13 +113,13 @@ def _features(docs, words, per_cent, frequent) -> DataFrame:
     def make(batches):
         heavy = frequent.value
         for batch in batches:
-            out = {k: [] for k in ("n", "cls", "gid", "prefix", "bits")}
+            out = {k: [] for k in ("n", "cls", "gid", "prefix", "bits", "wide")}
             for h in shingles(batch.column("text"), words):
                 s = distinct(h)
                 n = len(s)
                 out["n"].append(n)
                 if not n:
-                    for k in ("cls", "gid", "prefix", "bits"):
+                    for k in ("cls", "gid", "prefix", "bits", "wide"):
                         out[k].append(None)
                     continue
                 weight = heavy[s & np.uint64(CELLS - 1)]
@@ -128,21 +129,29 @@ def _features(docs, words, per_cent, frequent) -> DataFrame:
                     rest = np.flatnonzero(weight)
                     rest = rest[np.argsort(weight[rest], kind="stable")]
                     prefix = np.concatenate((prefix, s[rest[:k - len(prefix)]]))
-                odd = np.bincount(
-                    (s >> np.uint64(40)).astype(np.int64) & (8 * MAP_BYTES - 1),
-                    minlength=8 * MAP_BYTES) & 1
+                bits = max(8 * MAP_BYTES, 1 << (n - 1).bit_length())
+                odd = np.bincount((s >> np.uint64(32)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+                wide = np.packbits(odd.astype(np.uint8))
                 out["cls"].append(xxhash.xxh128_digest(s.tobytes()))
                 out["gid"].append(xxhash.xxh128_digest(prefix.tobytes(), seed=n))
                 out["prefix"].append(prefix.view(np.int64))
-                out["bits"].append(np.packbits(odd.astype(np.uint8)).tobytes())
+                out["bits"].append(_folded(wide, MAP_BYTES).tobytes())
+                out["wide"].append(wide.tobytes())
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(out["n"], pa.int32()),
                 pa.array(out["cls"], pa.binary()), pa.array(out["gid"], pa.binary()),
                 pa.array(out["prefix"], pa.list_(pa.int64())), pa.array(out["bits"], pa.binary()),
-            ], ["doc_id", "n", "cls", "gid", "prefix", "bits"])
+                pa.array(out["wide"], pa.binary()),
+            ], ["doc_id", "n", "cls", "gid", "prefix", "bits", "wide"])
 
     return docs.mapInArrow(
-        make, "doc_id bigint, n int, cls binary, gid binary, prefix array<bigint>, bits binary")
+        make, "doc_id bigint, n int, cls binary, gid binary, prefix array<bigint>, bits binary, "
+        "wide binary")
+
+
+def _folded(parity: np.ndarray, size: int) -> np.ndarray:
+    """A parity map of ``size`` bytes from a larger one: shingles keep the low bits of their place."""
+    return np.bitwise_xor.reduce(parity.reshape(-1, size), axis=0)
 
 
 def _lists(units: DataFrame, large: DataFrame) -> DataFrame:
@@ -290,10 +299,28 @@ def _expand(pairs: DataFrame, members: DataFrame) -> DataFrame:
         F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
 
 
+def _plausible(pairs: DataFrame, classes: DataFrame, per_cent: int) -> DataFrame:
+    """The pairs of classes that their wide parity maps don't rule out."""
+
+    def check(batches):
+        for batch in batches:
+            keep = []
+            for m, n, x, y in zip(*(batch.column(k).to_pylist() for k in ("m", "n", "x", "y"))):
+                size = min(len(x), len(y))
+                apart = np.bitwise_count(
+                    _folded(np.frombuffer(x, np.uint8), size) ^ _folded(np.frombuffer(y, np.uint8), size))
+                keep.append(int(apart.sum()) * (100 + per_cent) <= (m + n) * (100 - per_cent))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    maps = classes.select("cid", "n", "wide")
+    return pairs.join(maps.toDF("a", "m", "x"), "a").join(maps.toDF("b", "n", "y"), "b").mapInArrow(
+        check, "a bigint, b bigint")
+
+
 def _verified(docs, classes, pairs, words, per_cent) -> DataFrame:
     """The pairs of classes whose sets really link."""
     spark = docs.sparkSession
-    pairs = saved(pairs, "candidates")
+    pairs = saved(_plausible(pairs, classes, per_cent), "candidates")
     wanted = saved(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(
         classes.select("cid", "cls", "rep"), "cid"), "wanted")
 
