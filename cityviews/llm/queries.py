@@ -3,13 +3,25 @@
 from __future__ import annotations
 
 from cityviews.llm.common import table
+from cityviews.llm.fingerprints import fingerprint_edits
 from cityviews.llm.ngram_join import jaccard_components
+from cityviews.llm.shards import shard_documents
 
 
 def op1_ngram_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"), words=3, per_cent=90)
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join,)}
+def op3_sharding(spark, sf_dir):
+    return shard_documents(table(spark, sf_dir, "documents"), shards=24)
+
+
+def op6_fingerprints(spark, sf_dir):
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_join, op3_sharding, op6_fingerprints,
+)}
 
 ORACLES: dict[str, str] = {}
