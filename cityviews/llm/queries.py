@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from cityviews.llm.common import table
 from cityviews.llm.fingerprints import fingerprint_edits
 from cityviews.llm.ngram_join import jaccard_components
+from cityviews.llm.packing import pack
 from cityviews.llm.shards import shard_documents
 
 
@@ -20,8 +23,12 @@ def op6_fingerprints(spark, sf_dir):
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_join, op3_sharding, op6_fingerprints,
+    op1_ngram_join, op3_sharding, op6_fingerprints, op10_packing,
 )}
 
 ORACLES: dict[str, str] = {}
