@@ -6,15 +6,21 @@ import public_tokenizers
 
 from cityviews.llm.common import table
 from cityviews.llm.fingerprints import fingerprint_edits
+from cityviews.llm.html_text import extract_pages
 from cityviews.llm.ngram_join import jaccard_components
 from cityviews.llm.packing import pack
 from cityviews.llm.shards import shard_documents
+from cityviews.llm.toxicity import toxicity
 
 
 def op1_ngram_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"), words=3, per_cent=90)
 
 
+def op2_html_extraction(spark, sf_dir):
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_sharding(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
@@ -23,12 +29,16 @@ def op6_fingerprints(spark, sf_dir):
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_join, op3_sharding, op6_fingerprints, op10_packing,
+    op1_ngram_join, op2_html_extraction, op3_sharding, op6_fingerprints, op7_toxicity, op10_packing,
 )}
 
 ORACLES: dict[str, str] = {}

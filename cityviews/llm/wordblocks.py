@@ -16,8 +16,8 @@ _rng = np.random.default_rng(20240229)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _VALUE = (_rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[_LOWER]
-_GAP = np.zeros(256, dtype=bool)
-_GAP[[32, 9, 10, 11, 12, 13]] = True
+WHITE = np.zeros(256, dtype=bool)
+WHITE[[32, 9, 10, 11, 12, 13]] = True
 _BASE = 0x9E3779B97F4A7C15 & ~7 | 5
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -52,9 +52,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, counts): byte spans of all words, and the number of words per text."""
-    inside = ~_GAP[data]
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = WHITE,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, counts): byte spans of all words, and the number of words per text.
+
+    ``gaps`` tells for each byte value whether it parts words.
+    """
+    inside = ~gaps[data]
     first = np.zeros(len(data), dtype=bool)
     edges = offsets[:-1][offsets[:-1] < len(data)]
     first[edges] = True
