@@ -54,6 +54,30 @@ def buckets_for(rows: int, each: int) -> int:
     return max(1, -(-rows // each))
 
 
+#: There are at most 2**CUTS ranges of ids.
+CUTS = 10
+
+
+def id_ranges(df: DataFrame, column: str, each: int) -> Column:
+    """A column that numbers ranges of ``column`` with about ``each`` rows, in order.
+
+    The cut points are quantiles over all rows, at most 2**CUTS - 1 of them, found by halving.
+    """
+    steps = max(0, min(CUTS, (df.count() // each).bit_length()))
+    if not steps:
+        return F.lit(0)
+    shares = [i / 2 ** steps for i in range(1, 2 ** steps)]
+    found = df.agg(F.percentile_approx(column, shares, 100_000)).first()[0]
+    cuts = F.lit(list(found or [0] * len(shares)))
+    halves = F.lit([2 ** (steps - 1 - i) for i in range(steps)])
+
+    def halve(low: Column, i: Column) -> Column:
+        half = F.get(halves, i)
+        return F.when(F.get(cuts, low + half - 1) <= F.col(column), low + half).otherwise(low)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(steps - 1)), F.lit(0), halve)
+
+
 def gathered(blocks: DataFrame, width: int, dtype: str) -> np.ndarray:
     """The sum, as one array of ``width`` numbers, of ``blocks(block int, data binary)``.
 

@@ -14,10 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cityviews.llm.common import id_ranges
+
 K = 128
 WORDS = 5
-CUTS = 10        # at most 2**CUTS ranges of ids
-EACH = 2_000     # rows of a range, as long as there are fewer ranges
+EACH = 2_000     # rows of a range of ids, if there are few enough ranges
 
 
 def sketch(text: Column, k: int = K, words: int = WORDS) -> Column:
@@ -80,26 +81,6 @@ def as_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
 
 
-def _ranges(docs: DataFrame) -> Column:
-    """A column that numbers ranges of ``doc_id`` with about equally many rows, in order.
-
-    The cut points are quantiles over all rows, at most 2**CUTS - 1 of them, found by halving.
-    """
-    steps = max(0, min(CUTS, (docs.count() // EACH).bit_length()))
-    if not steps:
-        return F.lit(0)
-    shares = [i / 2 ** steps for i in range(1, 2 ** steps)]
-    found = docs.agg(F.percentile_approx("doc_id", shares, 100_000)).first()[0]
-    cuts = F.lit(list(found or [0] * len(shares)))
-
-    def halve(low: Column, i: Column) -> Column:
-        half = F.shiftleft(F.lit(1), 0) if steps == 1 else F.get(
-            F.lit([2 ** (steps - 1 - x) for x in range(steps)]), i)
-        return F.when(F.get(cuts, low + half - 1) <= F.col("doc_id"), low + half).otherwise(low)
-
-    return F.aggregate(F.sequence(F.lit(0), F.lit(steps - 1)), F.lit(0), halve)
-
-
 def fingerprint_edits(docs: DataFrame, k: int = K) -> DataFrame:
     """Fingerprints of each text of ``docs(doc_id, text)``, of its edited text, and likeness.
 
@@ -113,7 +94,7 @@ def fingerprint_edits(docs: DataFrame, k: int = K) -> DataFrame:
     docs = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    docs = docs.withColumn("_r", _ranges(docs))
+    docs = docs.withColumn("_r", id_ranges(docs, "doc_id", EACH))
     heads = docs.groupBy("_r").agg(F.min(F.struct("doc_id", "text")).alias("_h"))
     order = Window.orderBy("_r")  # one row per range
     heads = heads.select(

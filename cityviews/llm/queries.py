@@ -11,6 +11,8 @@ from cityviews.llm.ngram_join import jaccard_components
 from cityviews.llm.packing import pack
 from cityviews.llm.shards import shard_documents
 from cityviews.llm.toxicity import toxicity
+from cityviews.llm.warc import read_archives, write_archives
+from cityviews.sinks.workdir import work_folder
 
 
 def op1_ngram_join(spark, sf_dir):
@@ -33,12 +35,28 @@ def op7_toxicity(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_warc(spark, sf_dir):
+    folder = work_folder(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), folder)
+    return read_archives(spark, folder)
+
+
 def op10_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_join, op2_html_extraction, op3_sharding, op6_fingerprints, op7_toxicity, op10_packing,
+    op1_ngram_join, op2_html_extraction, op3_sharding, op6_fingerprints, op7_toxicity, op8_warc,
+    op10_packing,
 )}
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op8_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages
+), h AS (SELECT d, min(page_id) AS head FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 100 AND page_id IS DISTINCT FROM head THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id IS DISTINCT FROM head THEN head END AS refers_to
+FROM p LEFT JOIN h USING (d)"""
