@@ -10,6 +10,7 @@ from cityviews.llm.html_text import extract_pages
 from cityviews.llm.ngram_join import jaccard_components
 from cityviews.llm.packing import pack
 from cityviews.llm.shards import shard_documents
+from cityviews.llm.topk import top_k
 from cityviews.llm.toxicity import toxicity
 from cityviews.llm.warc import read_archives, write_archives
 from cityviews.sinks.workdir import work_folder
@@ -27,6 +28,10 @@ def op3_sharding(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op5_topk(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings"), k=5, scale=256.0, every=50)
+
+
 def op6_fingerprints(spark, sf_dir):
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -46,7 +51,7 @@ def op10_packing(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_join, op2_html_extraction, op3_sharding, op6_fingerprints, op7_toxicity, op8_warc,
+    op1_ngram_join, op2_html_extraction, op3_sharding, op5_topk, op6_fingerprints, op7_toxicity, op8_warc,
     op10_packing,
 )}
 
@@ -60,3 +65,16 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
   CASE WHEN n >= 100 AND page_id IS DISTINCT FROM head THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN n >= 100 AND page_id IS DISTINCT FROM head THEN head END AS refers_to
 FROM p LEFT JOIN h USING (d)"""
+
+ORACLES["op5_topk"] = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS f FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.f, v.f)::BIGINT AS score
+  FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.f) = len(v.f)
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
