@@ -7,9 +7,11 @@ import public_tokenizers
 from cityviews.llm.common import table
 from cityviews.llm.fingerprints import fingerprint_edits
 from cityviews.llm.html_text import extract_pages
+from cityviews.llm.mixing import mix, plan
 from cityviews.llm.ngram_join import jaccard_components
 from cityviews.llm.packing import pack
 from cityviews.llm.shards import shard_documents
+from cityviews.llm.token_rollup import rollup_documents
 from cityviews.llm.topk import top_k
 from cityviews.llm.toxicity import toxicity
 from cityviews.llm.warc import read_archives, write_archives
@@ -28,6 +30,11 @@ def op3_sharding(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op4_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return mix(docs, plan(docs))
+
+
 def op5_topk(spark, sf_dir):
     return top_k(table(spark, sf_dir, "embeddings"), k=5, scale=256.0, every=50)
 
@@ -46,13 +53,19 @@ def op8_warc(spark, sf_dir):
     return read_archives(spark, folder)
 
 
+def op9_token_counts(spark, sf_dir):
+    return rollup_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+        work_folder(spark, "rollup"))
+
+
 def op10_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_join, op2_html_extraction, op3_sharding, op5_topk, op6_fingerprints, op7_toxicity, op8_warc,
-    op10_packing,
+    op1_ngram_join, op2_html_extraction, op3_sharding, op4_mixing, op5_topk, op6_fingerprints,
+    op7_toxicity, op8_warc, op9_token_counts, op10_packing,
 )}
 
 ORACLES: dict[str, str] = {}
@@ -78,3 +91,54 @@ WITH v AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+ORACLES["op4_mixing"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n
+  FROM documents
+), s AS (
+  SELECT source, sum(n)::BIGINT AS t, count(*) AS docs, max(sum(n)) OVER ()::DOUBLE AS top FROM d GROUP BY source
+), bisect AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi,
+    (SELECT max(1.0 / t) / min(1.0 / t) <= 4 FROM s WHERE t > 0) AS flat
+  UNION ALL
+  SELECT i + 1, CASE WHEN ok THEN lo ELSE mid END, CASE WHEN ok THEN mid ELSE hi END, flat FROM (
+    SELECT i, lo, hi, flat, (lo + hi) / 2 AS mid,
+      (SELECT max(pow(t / top, (lo + hi) / 2) / t) / min(pow(t / top, (lo + hi) / 2) / t) <= 4
+       FROM s WHERE t > 0) AS ok
+    FROM bisect WHERE i < 48) AS b
+), e AS (
+  SELECT CASE WHEN flat THEN 0.0 ELSE hi END AS exponent FROM bisect WHERE i = 48
+), p AS (
+  SELECT s.*, exponent, CASE WHEN t > 0 THEN pow(t / top, exponent) ELSE 0 END AS p FROM s, e
+), w AS (
+  SELECT source, t, docs, exponent, p / sum(p) OVER () AS weight,
+    round(p / (SELECT min(p / t) FROM p WHERE t > 0))::BIGINT AS quota
+  FROM p
+), z AS (
+  SELECT *, CASE WHEN t > 0 THEN quota // greatest(t, 1) ELSE 1 END AS passes,
+    (SELECT greatest(1, ceil(sum(quota) / 1048576))::BIGINT FROM w) AS blocks
+  FROM w
+), last AS (
+  SELECT d.doc_id, d.source, coalesce(sum(n) OVER (
+      PARTITION BY d.source ORDER BY substr(md5(concat_ws(':', coalesce(doc_id::VARCHAR, 'null'), passes)), 1, 8), doc_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < quota - passes * t AS more
+  FROM d JOIN z ON d.source IS NOT DISTINCT FROM z.source WHERE t > 0
+), c AS (
+  SELECT d.*, z.* EXCLUDE (source), unnest(range(passes + coalesce(more, false)::BIGINT)) AS pass
+  FROM d JOIN z ON d.source IS NOT DISTINCT FROM z.source
+  LEFT JOIN last ON d.doc_id = last.doc_id AND d.source IS NOT DISTINCT FROM last.source
+), f AS (
+  SELECT *, coalesce(sum(n) OVER (
+      PARTITION BY source, pass
+      ORDER BY substr(md5(concat_ws(':', coalesce(doc_id::VARCHAR, 'null'), pass)), 1, 8), doc_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM c
+), g AS (
+  SELECT *, least(floor((before + pass * t) / greatest(quota, 1) * blocks), blocks - 1)::BIGINT AS block FROM f
+)
+SELECT doc_id, source, n AS tokens, pass::INTEGER AS pass, block,
+  row_number() OVER (PARTITION BY block ORDER BY md5(
+    concat_ws(':', block, coalesce(doc_id::VARCHAR, 'null'), pass)), n)::INTEGER AS slot,
+  round(exponent, 6) AS exponent, round(weight, 6) AS weight
+FROM g"""
