@@ -111,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int =
         rows.mapInArrow(featured, "doc_id bigint, label int, places binary"), "examples")
     found = examples.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "places").mapInArrow(
         learnt, "places binary, weights binary").first()
-    return found.places, found.weights
+    return (found.places, found.weights) if found else (b"", b"")  # no labels, no weights
 
 
 def score(docs: DataFrame, model: tuple, *keep: Column) -> DataFrame:

@@ -1,6 +1,8 @@
 """From raw documents to packed training sequences.
 
-Each stage takes what the one before kept, written as Parquet and read again.
+Each stage takes what the one before kept, written as Parquet and read again, and returns the
+columns of ``documents``; others are left out. Nulls, empty tables and repeated rows are treated
+as the operators do; no stage drops a row for them.
 """
 
 from __future__ import annotations
@@ -16,10 +18,13 @@ from cityviews.llm.packing import pack
 from cityviews.llm.toxicity import THRESHOLD, fit, held_out, score
 
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that the classifier calls toxic."""
     model = fit(docs, table(spark, sf_dir, "labels").where(~held_out()))
-    return score(docs, model, *[F.col(c) for c in docs.columns]).where(
+    return score(docs, model, *[F.col(c) for c in COLUMNS]).where(
         F.col("score") < THRESHOLD).drop("score")
 
 
@@ -30,12 +35,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     found = jaccard_components(docs, words=5, per_cent=80)
     gone = saved(found.where("doc_id != component_id").select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti")
+    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats documents of small sources, as far as the repetition limit lets it."""
-    return copies(docs, plan(docs)).drop("pass")
+    return copies(docs.select(*COLUMNS), plan(docs)).drop("pass")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

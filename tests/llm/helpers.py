@@ -1,0 +1,75 @@
+"""Small tables with every awkward case, and plain Python versions of the operators."""
+
+import re
+
+from pyspark.sql import types as T
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = {i: i + 32 for i in range(65, 91)}
+
+DOCS = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+    T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+    T.StructField("n_chars", T.LongType()),
+    # names that operators use inside
+    *[T.StructField(c, T.StringType()) for c in (
+        "n", "cls", "uid", "_r", "_v", "_t", "tokens", "pass", "score", "_text", "size", "shard",
+        "component_id", "_source", "_k", "_b", "label", "places", "words", "digest", "version", "op")],
+])
+
+
+def words_of(seed, n):
+    return [f"w{(seed * 7919 + i * i * 31 + i * 17) % 99991}" for i in range(n)]
+
+
+def awkward_texts():
+    base = words_of(1, 300)
+    near = base[:]
+    near[150] = "changed"
+    nearer = near[:]
+    nearer[20] = "again"
+    far = base[:150] + words_of(2, 150)
+    long_ = words_of(3, 30_000)
+    return [
+        (10, " ".join(base)), (11, " ".join(base)), (12, "\t".join(base).upper()), (13, " ".join(near)),
+        (14, " ".join(nearer)), (15, " ".join(far)), (16, None), (17, ""), (18, " \t\n "), (19, "one two"),
+        (20, "one two"), (21, "one  TWO"), (22, "one two three"), (23, " ".join(long_)),
+        (24, " ".join(long_[:-3] + ["x", "y", "z"])), (25, "a a a a a a"), (25, "a a a a a a"),
+        (26, "b b b b b"), (None, " ".join(base)), (None, None), (27, "Ünï çödé ß 日本語 🎈 it's DON'T"),
+        (28, " ".join(words_of(5, 40))), (29, " ".join(words_of(5, 40)[:39])),
+    ]
+
+
+def awkward(spark, empty=False):
+    rows = [] if empty else [
+        (i, t, None if k % 7 == 0 else "en", None if k % 5 == 0 else f"s{k % 3}", None, *["x"] * (len(DOCS) - 5))
+        for k, (i, t) in enumerate(awkward_texts())]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def shingle_set(text, k):
+    w = WORD.findall((text or "").translate(LOWER))
+    return {tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+
+
+def components(sets, per_cent):
+    """Least index reachable by links, for each of ``sets``."""
+    up = list(range(len(sets)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if sets[i] and sets[j]:
+                both = len(sets[i] & sets[j])
+                if 100 * both >= per_cent * (len(sets[i]) + len(sets[j]) - both):
+                    a, b = sorted((top(i), top(j)))
+                    up[b] = a
+    return [top(i) for i in range(len(sets))]
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
