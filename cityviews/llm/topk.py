@@ -30,7 +30,8 @@ CENTRES = 64
 EACH = 512              # vectors for which there is one centre, up to CENTRES
 PART = 16_384           # vectors of a centre that one task holds
 QUERIES = 4_096         # queries that meet a part in one task
-LEAF = 128
+LEAF = 64               # vectors that a node need not split
+QUERY_LEAF = 8
 FAN = 48                # children of a node; a level that needs more is not split
 ROWS = "vec_id bigint, dim int, centre int, dist double, vec binary"
 
@@ -222,13 +223,13 @@ class Node:
         self.norm = float(np.linalg.norm(centre))
 
 
-def cover_tree(x: np.ndarray) -> Node:
+def cover_tree(x: np.ndarray, leaf: int) -> Node:
     """A node's children are points over half its radius apart; each covers those within that."""
     top = Node(x, np.arange(len(x)), x[0])
     open_ = [top]
     while open_:
         node = open_.pop()
-        if len(node.rows) <= LEAF or node.radius == 0:
+        if len(node.rows) <= leaf or node.radius == 0:
             continue
         left, children = node.rows, []
         while len(left) and len(children) < FAN:
@@ -253,7 +254,7 @@ def _bounds(node: Node, others: list[Node]) -> np.ndarray:
 
 
 def dual(x: np.ndarray, y: np.ndarray, ids: np.ndarray, best: Best) -> None:
-    q, r = cover_tree(x), cover_tree(y)
+    q, r = cover_tree(x, QUERY_LEAF), cover_tree(y, LEAF)
     stack = [(float(_bounds(q, [r])[0]), q, r)]
     while stack:
         bound, q, r = stack.pop()

@@ -130,7 +130,8 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
 
     rows = records.select("page_id", "payload_digest", "member").mapInArrow(
         numbered, "file bigint, page_id bigint, payload_digest string, member binary")
-    rows = rows.repartitionByRange("file").sortWithinPartitions("file", "page_id", "payload_digest")
+    rows = rows.repartitionByRange("file").sortWithinPartitions(
+        "file", "page_id", "payload_digest", "member")
 
     def written(batches):
         done, writer = [], None

@@ -1,0 +1,79 @@
+import duckdb
+import pytest
+from helpers import awkward
+from oracle import compare
+
+from cityviews.llm import queries
+from cityviews.llm.mixing import copies, exponent, mix, plan
+
+SKEW = {"big": 400, "mid": 90, "small": 12, "tiny": 3, None: 25}
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """A table whose hot source holds most rows."""
+    path = str(tmp_path_factory.mktemp("mix"))
+    data, i = [], 0
+    for source, n in SKEW.items():
+        for _ in range(n):
+            data.append((i, None if i % 50 == 3 else "w " * (i % 37 * 20), source))
+            i += 1
+    spark.createDataFrame(data, "doc_id long, text string, source string").coalesce(1).write.parquet(
+        f"{path}/part")
+    import glob
+    import shutil
+    shutil.copy(glob.glob(f"{path}/part/*.parquet")[0], f"{path}/documents.parquet")
+    return path
+
+
+def test_skewed_sources_equal_sql(spark, folder):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    df = queries.op4_mixing(spark, folder)
+    assert 0 < df.first()["exponent"] < 1
+    assert compare(df, con, queries.ORACLES["op4_mixing"]) is None
+
+
+def test_limit_budget_and_blocks(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    p = plan(docs, max_repeats=3.0)
+    for r in p.collect():
+        assert r.tokens <= r.quota <= 3 * r.tokens + 1
+    got = mix(docs, p, block_tokens=20_000).toPandas()
+    assert set(got.doc_id) == set(range(sum(SKEW.values())))
+    for _, block in got.groupby("block"):
+        assert sorted(block.slot) == list(range(1, len(block) + 1))
+    taken = got.groupby("source", dropna=False).tokens.sum()
+    longest = 36 * 20
+    for r in p.collect():
+        key = r.source if r.source is not None else float("nan")
+        total = taken[key] if r.source is not None else taken[taken.index.isna()].iloc[0]
+        assert r.quota <= total < r.quota + longest
+    whole = got[got.block < got.block.max()]
+    share = whole[whole.source == "big"].groupby("block").tokens.sum() / whole.groupby("block").tokens.sum()
+    assert (share - share.mean()).abs().max() < 0.1
+    assert copies(docs, p).count() == len(got)
+
+
+def test_entropy_target(spark):
+    import math
+
+    sources = spark.createDataFrame([("a", 1000), ("b", 100), ("c", 10), ("d", 0)], "source string, tokens long")
+    assert exponent(sources, entropy=math.log(3)) == 0.0
+    a = exponent(sources, entropy=0.9)
+    w = [x ** a for x in (1000, 100, 10)]
+    w = [x / sum(w) for x in w]
+    assert abs(-sum(x * math.log(x) for x in w) - 0.9) < 1e-9
+    assert exponent(sources, entropy=0.01) == 1.0
+    assert exponent(sources, max_repeats=1.0, budget=10_000) == 1.0
+    b = exponent(sources, max_repeats=2.0, budget=1110)
+    w = [x ** b for x in (1000, 100, 10)]
+    assert abs(max(1110 * y / sum(w) / x for x, y in zip((1000, 100, 10), w)) - 2) < 1e-9
+
+
+def test_awkward_and_empty(spark):
+    docs = awkward(spark)
+    got = mix(docs, plan(docs))
+    assert {r.doc_id for r in got.collect()} == {r.doc_id for r in docs.collect()}
+    nothing = awkward(spark, empty=True)
+    assert mix(nothing, plan(nothing)).count() == 0
