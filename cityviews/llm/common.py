@@ -78,6 +78,13 @@ def id_ranges(df: DataFrame, column: str, each: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(steps - 1)), F.lit(0), halve)
 
 
+def slices(batches, rows: int = 1024):
+    """The rows of record batches, fewer at a time, so that what is made of them stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def gathered(blocks: DataFrame, width: int, dtype: str) -> np.ndarray:
     """The sum, as one array of ``width`` numbers, of ``blocks(block int, data binary)``.
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityviews.llm.common import as_blocks, gathered, saved
+from cityviews.llm.common import as_blocks, gathered, saved, slices
 from cityviews.llm.components import roots
 from cityviews.llm.wordblocks import distinct, shingles
 
@@ -39,6 +39,7 @@ MAP_BYTES = 64        # size of a parity map in the lists
 BLOCK = 1024          # groups compared at a time in one list
 GROUP = 16            # classes that a group may hold; larger ones are kept as single classes
 FIRST = 8             # prefix shingles that tell in which list a pair is reported
+PAIRS = 1 << 16       # pairs of groups looked at together
 
 
 def jaccard_components(docs: DataFrame, words: int = 3, per_cent: int = 90) -> DataFrame:
@@ -112,7 +113,7 @@ def _frequent(counts: np.ndarray) -> np.ndarray:
 def _features(docs, words, per_cent, frequent) -> DataFrame:
     def make(batches):
         heavy = frequent.value
-        for batch in batches:
+        for batch in slices(batches):
             out = {k: [] for k in ("n", "cls", "gid", "prefix", "bits", "wide")}
             for h in shingles(batch.column("text"), words):
                 s = distinct(h)
@@ -124,7 +125,7 @@ def _features(docs, words, per_cent, frequent) -> DataFrame:
                     continue
                 weight = heavy[s & np.uint64(CELLS - 1)]
                 k = n + (-per_cent * n // 100) + 1
-                prefix = s[weight == 0][:k]
+                prefix = s[np.flatnonzero(weight == 0)[:k]]
                 if len(prefix) < k:
                     rest = np.flatnonzero(weight)
                     rest = rest[np.argsort(weight[rest], kind="stable")]
@@ -261,28 +262,30 @@ def _near(table: pa.Table, per_cent: int):
         if m < 2:
             continue
         at = starts[:-1][sizes == m]
-        i, j = np.triu_indices(m, 1)
-        step = max(1, (1 << 19) // len(i))
+        i, j = (x.astype(np.int32) for x in np.triu_indices(m, 1))
+        step = max(1, PAIRS // len(i))
         for k in range(0, len(at), step):
-            x = (at[k:k + step, None] + i).ravel()
-            y = (at[k:k + step, None] + j).ravel()
-            small, big = np.minimum(col["n"][x], col["n"][y]), np.maximum(col["n"][x], col["n"][y])
-            ok = (100 * small.astype(np.int64) >= per_cent * big.astype(np.int64)) & (
-                col["label"][x] != col["label"][y])
-            ok &= (col["bi"][x] == col["bj"][x]) | (col["side"][x] != col["side"][y])
-            x, y = x[ok], y[ok]
-            apart = np.bitwise_count(maps[x] ^ maps[y]).sum(axis=1, dtype=np.int64)
-            both = (col["n"][x] + col["n"][y]).astype(np.int64)
-            either = multi[x] | multi[y]
-            ok = either | (apart * (100 + per_cent) <= both * (100 - per_cent))
-            x, y, apart, either = x[ok], y[ok], apart[ok], either[ok]
-            if first is not None and len(x):
-                ok = np.fromiter((first(p, q) for p, q in zip(x.tolist(), y.tolist())), bool, len(x))
-                x, y, apart, either = x[ok], y[ok], apart[ok], either[ok]
-            if len(x):
-                order = np.argsort(apart, kind="stable")
-                x, y = x[order], y[order]
-                yield col["uid"][x], col["uid"][y], either[order]
+            some, passed = at[k:k + step, None].astype(np.int32), []
+            for p in range(0, len(i), PAIRS):
+                x, y = (some + i[p:p + PAIRS]).ravel(), (some + j[p:p + PAIRS]).ravel()
+                small, big = np.minimum(col["n"][x], col["n"][y]), np.maximum(col["n"][x], col["n"][y])
+                ok = (100 * small.astype(np.int64) >= per_cent * big.astype(np.int64)) & (
+                    col["label"][x] != col["label"][y])
+                ok &= (col["bi"][x] == col["bj"][x]) | (col["side"][x] != col["side"][y])
+                x, y = x[ok], y[ok]
+                apart = np.bitwise_count(maps[x] ^ maps[y]).sum(axis=1, dtype=np.int32)
+                both = (col["n"][x] + col["n"][y]).astype(np.int64)
+                ok = multi[x] | multi[y] | (apart.astype(np.int64) * (100 + per_cent) <= both * (100 - per_cent))
+                x, y, apart = x[ok], y[ok], apart[ok]
+                if first is not None and len(x):
+                    ok = np.fromiter((first(p, q) for p, q in zip(x.tolist(), y.tolist())), bool, len(x))
+                    x, y, apart = x[ok], y[ok], apart[ok]
+                passed.append((x, y, apart))
+            x, y, apart = (np.concatenate(c) for c in zip(*passed))
+            order = np.argsort(apart, kind="stable")  # the nearest first
+            for p in range(0, len(order), PAIRS):
+                a, b = x[order[p:p + PAIRS]], y[order[p:p + PAIRS]]
+                yield col["uid"][a], col["uid"][b], multi[a] | multi[b]
 
 
 def _earliest(a, b, token) -> bool:
@@ -335,7 +338,7 @@ def _verified(docs, classes, pairs, words, per_cent) -> DataFrame:
 
     def sets(batches):
         maybe = np.unpackbits(seen.value)
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column("doc_id")
             keep = ids.is_valid().to_numpy(zero_copy_only=False)
             keep &= maybe[_slot(ids.fill_null(0).to_numpy())] > 0

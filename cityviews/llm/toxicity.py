@@ -2,7 +2,8 @@
 
 Features of a text: its words, their four-byte stems, pairs of neighbours, and pairs with one or
 two words between, each present or not, hashed to 2**22 places. Every coordinate has its own
-learning rate; L1 keeps the weights of few (places that a single text has get none). Those few are sent to all executors.
+learning rate; L1 keeps the weights of few (places that a single text has get none). Those few are
+sent to all executors.
 
 The model is fitted on a sample of at most ``SAMPLE`` labelled rows, those with the least hash of
 their id, in one task. Scoring reads every whole text; its rows are independent of each other.
@@ -96,16 +97,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int =
 
     def learnt(batches):
         model = Ftrl(PLACES)
-        seen = [(y, x) for b in batches for y, x in zip(
-            b.column("label").to_pylist(), b.column("places").to_pylist())]
+        seen = list(batches)
         for _ in range(rounds):
-            for y, x in seen:
-                model.learn(np.append(np.frombuffer(x, dtype=np.int32), PLACES), y)
-        w = model.weights()
-        at = np.flatnonzero(w)
+            for batch in seen:
+                for y, x in zip(batch.column("label").to_pylist(), batch.column("places")):
+                    model.learn(np.append(np.frombuffer(x.as_buffer(), dtype=np.int32), PLACES), y)
+        at = np.flatnonzero(np.abs(model.z) > model.l1)
+        w = model.weights(at)
         yield pa.RecordBatch.from_pydict({
             "places": pa.array([at.astype(np.int32).tobytes()], pa.binary()),
-            "weights": pa.array([w[at].astype(np.float32).tobytes()], pa.binary())})
+            "weights": pa.array([w.astype(np.float32).tobytes()], pa.binary())})
 
     examples = saved(
         rows.mapInArrow(featured, "doc_id bigint, label int, places binary"), "examples")
