@@ -9,7 +9,8 @@
     reset    VIEW PATH                     empty a view
 
 VIEW is a name of ``cityviews.plans.registry.VIEWS``; hours read ``yyyy-MM-dd_HH``.
-``refresh --cells`` and ``show --cells`` keep and show the view as text cells.
+With ``--cells`` refresh, show, compact and reset take the view kept as text cells.
+``refresh --latest`` takes a folder for FILE and uses its newest file.
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ from pyspark.sql import SparkSession
 
 from cityviews.plans.refresh import (
     backfill,
+    feed_schema,
     file_coverage,
     refresh_cells_from_file,
     refresh_from_file,
 )
 from cityviews.plans.registry import VIEWS, cells_spec
 from cityviews.sinks.store import compact_view, read_view, reset_view
-from cityviews.sources.files import stream_payloads
+from cityviews.sources.files import latest_file, read_payloads, stream_payloads
 from cityviews.streaming.refresh import refresh_stream
 
 
@@ -45,43 +47,55 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     refresh = command("refresh", "view", "file", "path")
     refresh.add_argument("--cells", action="store_true")
     refresh.add_argument("--batch", type=int)
+    refresh.add_argument("--latest", action="store_true")
     command("backfill", "view", "folder", "path", "first", "last").add_argument(
         "--batch", type=int)
     follow = command("follow", "view", "folder", "path", "checkpoint")
     follow.add_argument("--files-per-batch", type=int)
     follow.add_argument("--compact-every", type=int)
-    gaps = command("gaps", "folder", "first", "last")
-    gaps.add_argument("--rows", type=int, default=1000)
+    command("gaps", "folder", "first", "last")
     show = command("show", "view", "path")
     show.add_argument("--cells", action="store_true")
     show.add_argument("--rows", type=int, default=20)
-    command("compact", "view", "path").add_argument("--upto", type=int)
-    command("reset", "view", "path")
+    compact = command("compact", "view", "path")
+    compact.add_argument("--upto", type=int)
+    compact.add_argument("--cells", action="store_true")
+    command("reset", "view", "path").add_argument("--cells", action="store_true")
     return parser.parse_args(argv)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     view = VIEWS[args.view] if "view" in args else None
+    spec = cells_spec(args.view) if getattr(args, "cells", False) else view and view.spec
     if args.command == "refresh":
         job = refresh_cells_from_file if args.cells else refresh_from_file
-        job(spark, args.view, args.file, args.path, args.batch)
+        file = latest_file(spark, args.file) if args.latest else args.file
+        if file is None:
+            raise ValueError(f"no stamped file in {args.file}")
+        job(spark, args.view, file, args.path, args.batch)
     elif args.command == "backfill":
         backfill(spark, args.view, args.folder, args.path, args.first, args.last, args.batch)
     elif args.command == "follow":
-        payloads = stream_payloads(spark, args.folder, view.feed, args.files_per_batch)
+        schema = feed_schema(spark, view, args.folder)
+        payloads = stream_payloads(spark, args.folder, schema, args.files_per_batch)
         refresh_stream(
-            payloads, view, args.path, args.checkpoint, args.compact_every
+            payloads, view, args.path, args.checkpoint, args.compact_every,
+            lambda session, first, last: read_payloads(
+                session, args.folder, schema, first=first, last=last),
         ).awaitTermination()
     elif args.command == "gaps":
         counts = file_coverage(spark, args.folder, args.first, args.last)
-        counts.where("n = 0").orderBy("stamp").show(args.rows, truncate=False)
+        n = 0
+        for row in counts.where("n = 0").orderBy("stamp").toLocalIterator():
+            n += 1
+            print(row["stamp"])
+        print(f"{n} hours without files")
     elif args.command == "show":
-        spec = cells_spec(args.view) if args.cells else view.spec
         read_view(spark, spec, args.path).show(args.rows, truncate=False)
     elif args.command == "compact":
-        compact_view(spark, view.spec, args.path, args.upto)
+        compact_view(spark, spec, args.path, args.upto)
     elif args.command == "reset":
-        reset_view(spark, view.spec, args.path)
+        reset_view(spark, spec, args.path)
 
 
 def main() -> None:

@@ -57,7 +57,7 @@ shared AS (
          CASE WHEN k % 10 <> 0 THEN k // 2 END AS num_ebikes_available,
          k % 3 AS num_docks_disabled, CAST(1 AS BIGINT) AS is_installed,
          1 - k % 2 AS is_returning, 100 - k AS num_docks_available
-  FROM e WHERE k % 25 > 1
+  FROM e
 ),
 readings AS (
   SELECT event_id, ts, strftime(ts, '%Y-%m-%d_%H') AS stamp,
@@ -108,9 +108,10 @@ def q_struct_expand(spark, sf_dir):
 
 @query(f"WITH {READINGS} SELECT event_id, stamp, {STATUS_COLUMNS} FROM readings")
 def q_explode_entities(spark, sf_dir):
+    events = feeds.events(spark, sf_dir)
+    polls = feeds.status_feed(events).unionByName(feeds.bare_polls(events))
     rows = shape.explode_entities(
-        _status(spark, sf_dir), "data.stations", list(S.STATUS_FAMILIES),
-        keep=["event_id", "stamp_ts"])
+        polls, "data.stations", list(S.STATUS_FAMILIES), keep=["event_id", "stamp_ts"])
     return rows.select(
         "event_id", stamps.hour_stamp(F.col("stamp_ts")).alias("stamp"), *S.STATUS_FAMILIES)
 
@@ -180,12 +181,12 @@ def q_pick_first(spark, sf_dir):
 FORECASTS = """
 f AS (
   SELECT vec_id, embedding,
-         TIMESTAMP '2024-01-01' + to_minutes(vec_id // 3 % 400000 * 60 + vec_id % 60) AS ts
+         TIMESTAMP '2024-01-01' + to_minutes(vec_id % 240 * 60 + vec_id // 240 % 60) AS ts
   FROM embeddings
 ),
 forecasts AS (
   SELECT vec_id, ts, strftime(ts, '%Y-%m-%dT%H:00') AS "time", """ + ", ".join(
-    f"CAST(embedding[{1 + 5 * j} + CAST(extract(hour FROM ts) AS INT)] AS DOUBLE) AS {c}"
+    f"CAST(embedding[{feeds.metric_start(j)} + CAST(extract(hour FROM ts) AS INT)] AS DOUBLE) AS {c}"
     for j, c in enumerate(S.WEATHER_HOURLY_METRICS)) + " FROM f)"
 HOURLY_METRICS = ", ".join(S.WEATHER_HOURLY_METRICS)
 
@@ -463,6 +464,26 @@ def q_status_live_stream(spark, sf_dir):
     return _streamed(spark, sf_dir, "status_live").drop("version")
 
 
+@query(hourly_sql())
+def q_status_hourly_batches(spark, sf_dir):
+    """Means stored by a stream whose batches split every hour, then by a backfill over a part."""
+    view, path = VIEWS["status_hourly"], work_folder(spark, "status_hourly_batches")
+    events = feeds.table(spark, sf_dir, "events")
+    events.repartition(6, "event_id").write.parquet(f"{path}/events")
+    raw = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2)
+    raw = raw.parquet(f"{path}/events")
+
+    def polls(session, first, last):
+        payloads = feeds.status_feed(feeds.numbered(session.read.parquet(f"{path}/events")))
+        return payloads.where(stamps.in_hours(F.col("stamp_ts"), first, last))
+
+    refresh_stream(
+        feeds.status_feed(feeds.numbered(raw)), view, f"{path}/view", f"{path}/checkpoint",
+        polls=polls).awaitTermination()
+    upsert_view(view.build(polls(spark, FIRST, LAST)), view.spec, f"{path}/view")
+    return read_view(spark, view.spec, f"{path}/view").drop("version")
+
+
 @query(hourly_sql())
 def q_status_hourly_stream(spark, sf_dir):
     return views.status_hourly_from_parts(

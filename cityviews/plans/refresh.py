@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cityviews.functions.stamps import (
     FILE_STAMP,
@@ -15,6 +16,7 @@ from cityviews.functions.stamps import (
     previous_hour,
 )
 from cityviews.operators.cells import to_cells
+from cityviews.operators.shape import check_mapped
 from cityviews.plans.registry import VIEWS, View, cells_spec
 from cityviews.plans.views import keyed_status_hourly
 from cityviews.sinks.store import create_view, upsert_view
@@ -32,6 +34,19 @@ def _payloads(spark: SparkSession, view: View, path: str, **hours) -> DataFrame:
     return read_payloads(spark, path, None if view.open_feed else view.feed, **hours)
 
 
+def feed_schema(spark: SparkSession, view: View, folder: str) -> StructType:
+    """Schema to read a folder with; of an open feed, all fields that its files have.
+
+    A field without a family fails here, before anything is stored.
+    """
+    if not view.open_feed:
+        return view.feed
+    payload = view.feed.fields[0].name
+    found = read_payloads(spark, folder).schema[payload]
+    check_mapped(found.dataType.fieldNames(), view.families)
+    return StructType([found])
+
+
 def view_rows(spark: SparkSession, name: str, file: str) -> DataFrame:
     """Rows that the arrival of ``file`` brings.
 
@@ -42,7 +57,7 @@ def view_rows(spark: SparkSession, name: str, file: str) -> DataFrame:
     stamp = _file_stamp(file)
     if name != "status_hourly":
         return view.build(_payloads(spark, view, file))
-    folder = file.rsplit("/", 1)[0]
+    folder = file.rpartition("/")[0] or "."
     return view.build(
         read_payloads(spark, folder, view.feed, hour=previous_hour(stamp[:13])))
 
@@ -78,7 +93,7 @@ def _absent(spark: SparkSession, name: str, file: str) -> list[str]:
     """Weather fields that the file does not have."""
     if not VIEWS[name].open_feed:
         return []
-    payload = spark.read.parquet(file).schema.fields[0]
+    payload = spark.read.parquet(file).schema[VIEWS[name].feed.fields[0].name]
     return [c for c in VIEWS[name].families if c not in payload.dataType.fieldNames()]
 
 

@@ -15,13 +15,17 @@ from cityviews.sinks.store import ViewSpec
 
 @dataclass(frozen=True)
 class View:
-    """``open_feed`` reads whatever fields a feed has, so unmapped ones are noticed."""
+    """``open_feed`` reads whatever fields a feed has, so unmapped ones are noticed.
+
+    ``whole_hours`` marks rows that are right only if computed from all files of an hour.
+    """
 
     spec: ViewSpec
     build: Callable[[DataFrame], DataFrame]
     feed: StructType
     families: Mapping[str, str]
     open_feed: bool = False
+    whole_hours: bool = False
 
 
 VIEWS = {
@@ -34,7 +38,7 @@ VIEWS = {
         View(ViewSpec("information_daily", S.INFORMATION_DAILY_VIEW, period=7),
              V.information_daily, S.INFORMATION_FEED, S.INFORMATION_FAMILIES),
         View(ViewSpec("status_hourly", S.STATUS_HOURLY_VIEW, keys=("row_key", "legacy_id")),
-             V.status_hourly, S.STATUS_HOURLY_FEED, S.STATUS_FAMILIES),
+             V.status_hourly, S.STATUS_HOURLY_FEED, S.STATUS_FAMILIES, whole_hours=True),
         View(ViewSpec("status_hourly_parts", S.STATUS_HOURLY_PARTS,
                       keys=("row_key", "stamp", "legacy_id", "station_id"), rule="add"),
              V.status_hourly_parts, S.STATUS_HOURLY_FEED, S.STATUS_FAMILIES),

@@ -13,6 +13,7 @@ from cityviews import schemas as S
 from cityviews.functions.stamps import day_stamp, hour_stamp
 
 FEEDS = "/feeds/station_status/station_status_"
+FORECAST_HOURS = 240
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,7 +41,7 @@ def _entity(schema, values: dict[str, str]) -> Column:
 def status_feed(numbered_events: DataFrame) -> DataFrame:
     """Station status: each event reports its user and its type as two stations.
 
-    The five type stations hold half of all rows. Some payloads have no stations.
+    The five type stations hold half of all rows.
     """
     shared = {
         "num_bikes_disabled": "k % 4",
@@ -67,8 +68,14 @@ def status_feed(numbered_events: DataFrame) -> DataFrame:
         "station_status": "'type'",
     }
     stations = F.array(_entity(S.STATUS_FEED, user), _entity(S.STATUS_FEED, kind))
+    return numbered_events.select(
+        "event_id", "stamp_ts", F.struct(stations.alias("stations")).alias("data"))
+
+
+def bare_polls(numbered_events: DataFrame) -> DataFrame:
+    """Polls without stations, one beside each event: an empty list or none at all."""
     none = F.array().cast(S.STATUS_FEED["data"].dataType["stations"].dataType)
-    stations = F.when(F.expr("k % 25 > 1"), stations).when(F.expr("k % 25 = 0"), none)
+    stations = F.when(F.col("event_id") % 2 == 0, none)
     return numbered_events.select(
         "event_id", "stamp_ts", F.struct(stations.alias("stations")).alias("data"))
 
@@ -98,9 +105,18 @@ def daily_feed(numbered_events: DataFrame) -> DataFrame:
         "event_id", "stamp_ts", F.struct(days.alias("time"), *metrics).alias("daily"))
 
 
+def metric_start(j: int) -> int:
+    """Place in a vector of the first of the 24 numbers of metric ``j``."""
+    return 1 + j * (64 - 24) // (len(S.WEATHER_HOURLY_METRICS) - 1)
+
+
 def hourly_feed(embeddings: DataFrame) -> DataFrame:
-    """Hourly weather: each vector is a forecast of 24 hours, three of them per hour."""
-    minutes = F.expr("vec_id div 3 % 400000 * 60 + vec_id % 60")
+    """Hourly weather: each vector is a forecast of 24 hours.
+
+    The vectors are dealt over the hours of ten days, however many there are. The slices that
+    the metrics take cover a vector of 64 numbers from end to end.
+    """
+    minutes = F.expr(f"vec_id % {FORECAST_HOURS} * 60 + vec_id div {FORECAST_HOURS} % 60")
     stamp = F.timestamp_add(
         "MINUTE", minutes, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     stamped = embeddings.select("vec_id", "embedding", stamp.alias("stamp_ts"))
@@ -108,7 +124,7 @@ def hourly_feed(embeddings: DataFrame) -> DataFrame:
     times = F.lit(",".join(f"@T{h:02d}:00" for h in range(24)))
     hours = F.split(F.replace(times, F.lit("@"), day), ",")
     metrics = [
-        F.slice("embedding", 1 + 5 * j, 24).cast("array<double>").alias(c)
+        F.slice("embedding", metric_start(j), 24).cast("array<double>").alias(c)
         for j, c in enumerate(S.WEATHER_HOURLY_METRICS)
     ]
     return stamped.select(

@@ -10,6 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from cityviews import schemas as S
 from cityviews.functions.stamps import (
@@ -45,6 +46,10 @@ def _forecast_rows(
     check_mapped(fields, families)
     if "time" not in fields:
         raise ValueError(f"{struct} has no field time, which is the row key")
+    single = [f.name for f in wide.schema.fields
+              if f.name in fields and not isinstance(f.dataType, ArrayType)]
+    if single:
+        raise ValueError(f"{struct} has fields that are no arrays: {', '.join(single)}")
     picked = pick_at(wide, index, keep=[STAMP], strict=strict)
     key = F.col("time")
     if strict:

@@ -2,7 +2,7 @@
 
 Layout of a view folder::
 
-    heads/                                   what is valid: era, upto, period
+    heads/                                   what is valid: era, upto, period; what is stored
     log/era=E/batch=B/source=S/[period=P/]   the rows of one batch
     base/era=E/upto=B/[period=P/]            merged rows of all batches up to B
 
@@ -48,6 +48,13 @@ class ViewSpec:
         if self.rule not in ("version", "ingest", "add"):
             raise ValueError(f"unknown rule {self.rule}")
 
+    @property
+    def identity(self) -> str:
+        """What must agree between those who write and read a view; the rule is the reader's."""
+        fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.schema.fields)
+        keys = ", ".join(self.keys)
+        return f"{self.name} ({fields}) by {keys}, period {self.period}"
+
     @property
     def stored(self) -> StructType:
         fields = [*self.schema.fields, StructField("batch", LongType())]
@@ -56,7 +63,7 @@ class ViewSpec:
         return StructType(fields)
 
 
-HEADS = "era long, upto long, period string"
+HEADS = "era long, upto long, period string, spec string"
 
 
 @dataclass(frozen=True)
@@ -78,7 +85,8 @@ def _empty(spark: SparkSession, spec: ViewSpec) -> DataFrame:
 
 
 def _publish(
-    spark: SparkSession, path: str, head: Head, mode: str, periods: DataFrame | None = None
+    spark: SparkSession, spec: ViewSpec, path: str, head: Head, mode: str,
+    periods: DataFrame | None = None,
 ) -> None:
     """One file: a row for the head itself and one per period with a new base."""
     rows = spark.range(1).select(F.lit(None).cast("string").alias("period"))
@@ -86,7 +94,7 @@ def _publish(
         rows = rows.unionByName(periods)
     rows = rows.select(
         F.lit(head.era).cast("long").alias("era"), F.lit(head.upto).cast("long").alias("upto"),
-        "period")
+        "period", F.lit(spec.identity).alias("spec"))
     rows.coalesce(1).write.mode(mode).parquet(f"{path}/heads")
 
 
@@ -105,16 +113,20 @@ def _writer(rows: DataFrame, spec: ViewSpec) -> DataFrameWriter:
 def create_view(spark: SparkSession, spec: ViewSpec, path: str) -> None:
     """Make the view folder if it is not there; an existing view is left as it is."""
     _empty(spark, spec).write.mode("ignore").parquet(_log(path, 0))
-    _publish(spark, path, Head(0, -1), "ignore")
+    _publish(spark, spec, path, Head(0, -1), "ignore")
 
 
 def _heads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(HEADS).parquet(f"{path}/heads")
 
 
-def view_head(spark: SparkSession, path: str) -> Head:
-    row = _heads(spark, path).agg(F.max(F.struct("era", "upto")).alias("head")).first()["head"]
-    return Head(row["era"], row["upto"])
+def view_head(spark: SparkSession, path: str, spec: ViewSpec | None = None) -> Head:
+    """The newest head; fails if the folder holds another view than ``spec``."""
+    row = _heads(spark, path).agg(
+        F.max(F.struct("era", "upto")).alias("head"), F.max("spec").alias("spec")).first()
+    if spec is not None and row["spec"] not in (None, spec.identity):
+        raise ValueError(f"{path} holds {row['spec']}, not {spec.identity}")
+    return Head(row["head"]["era"], row["head"]["upto"])
 
 
 def _log_files(spark: SparkSession, spec: ViewSpec, path: str, head: Head) -> DataFrame:
@@ -136,14 +148,14 @@ def _log_rows(
 
 def next_batch(spark: SparkSession, spec: ViewSpec, path: str) -> int:
     """The number after all batches so far."""
-    head = view_head(spark, path)
+    head = view_head(spark, path, spec)
     last = _log_rows(spark, spec, path, head).agg(F.max("batch")).first()[0]
     return (head.upto if last is None else last) + 1
 
 
 def source_batch(spark: SparkSession, spec: ViewSpec, path: str, source: str) -> int | None:
     """Number of the batch that ``source`` wrote; None if it wrote none."""
-    log = _log_files(spark, spec, path, view_head(spark, path))
+    log = _log_files(spark, spec, path, view_head(spark, path, spec))
     return log.where(F.col("source") == source).agg(F.max("batch")).first()[0]
 
 
@@ -160,11 +172,11 @@ def upsert_view(
     of the same source it replaces that one, which is how a retry stays without effect;
     under the rule ``"add"``, where a second copy would count twice, a number is required.
     """
+    if batch is None and spec.rule == "add":
+        raise ValueError(f"{spec.name} adds batches up, so a batch needs a number")
     spark = df.sparkSession
-    head = view_head(spark, path)
+    head = view_head(spark, path, spec)
     if batch is None:
-        if spec.rule == "add":
-            raise ValueError(f"{spec.name} adds batches up, so a batch needs a number")
         batch = next_batch(spark, spec, path)
     if batch < 0 or batch <= head.upto:
         raise ValueError(
@@ -184,7 +196,7 @@ def upsert_once(df: DataFrame, spec: ViewSpec, path: str, source: str) -> None:
     batch = source_batch(spark, spec, path, source)
     if batch is None:
         batch = next_batch(spark, spec, path)
-    elif batch <= view_head(spark, path).upto:
+    elif batch <= view_head(spark, path, spec).upto:
         return
     upsert_view(df, spec, path, batch, source)
 
@@ -241,7 +253,7 @@ def read_view(
     last_day: str | None = None,
 ) -> DataFrame:
     """The state of the view, one row per key; of a range of days if one is given."""
-    head = view_head(spark, path)
+    head = view_head(spark, path, spec)
     rows, base = _log_rows(spark, spec, path, head), _base_rows(spark, spec, path, head)
     if base is not None:
         rows = rows.unionByName(base)
@@ -267,7 +279,7 @@ def compact_view(
     any more and can be removed with the file system's own tools, but for those of a
     stream's last run.
     """
-    head = view_head(spark, path)
+    head = view_head(spark, path, spec)
     if upto is None:
         upto = _log_rows(spark, spec, path, head).agg(F.max("batch")).first()[0]
     if upto is None or upto <= head.upto:
@@ -281,14 +293,14 @@ def compact_view(
         rows = rows.unionByName(base)
     merged = _merged(rows, spec).select(*spec.schema.fieldNames(), "batch")
     _writer(merged, spec).parquet(f"{_base(path, head.era)}/upto={upto}")
-    _publish(spark, path, Head(head.era, upto), "append", touched)
+    _publish(spark, spec, path, Head(head.era, upto), "append", touched)
 
 
 def reset_view(spark: SparkSession, spec: ViewSpec, path: str) -> None:
     """Leave the view empty, whether it was there or not."""
     create_view(spark, spec, path)
-    old = view_head(spark, path)
+    old = view_head(spark, path, spec)
     _empty(spark, spec).write.mode("overwrite").parquet(_log(path, old.era + 1))
-    _publish(spark, path, Head(old.era + 1, -1), "append")
+    _publish(spark, spec, path, Head(old.era + 1, -1), "append")
     for folder in (_log(path, old.era), _base(path, old.era)):
         _empty(spark, spec).write.mode("overwrite").parquet(folder)

@@ -49,13 +49,16 @@ def read_payloads(
 ) -> DataFrame:
     """Payload rows of a file or folder in one scan, with ``stamp_ts`` from the file name.
 
-    ``schema`` limits the scan to the fields a view needs; without it the footers decide.
+    ``schema`` limits the scan to the fields a view needs; without it the footers decide,
+    and a field that only some files have is null in the others.
     ``hour`` (``yyyy-MM-dd_HH``) keeps the files of one hour already while listing;
     ``first`` and ``last`` keep those of an hour range before any is opened.
     """
     reader = spark.read.option("pathGlobFilter", PARQUET)
     if schema is not None:
         reader = reader.schema(schema)
+    else:
+        reader = reader.option("mergeSchema", True)
     if hour is not None:
         reader = reader.option("pathGlobFilter", f"*_{hour}-*.parquet")
         first, last = hour, hour

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cityviews.functions.stamps import hour_stamp
 from cityviews.plans.registry import View
 from cityviews.sinks.store import compact_view, create_view, source_batch, upsert_once
 
@@ -20,12 +22,26 @@ def _stream_name(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.schema("name string").parquet(folder).first()["name"]
 
 
+def _whole_hours(
+    batch: DataFrame, polls: Callable[[SparkSession, str, str], DataFrame]
+) -> DataFrame:
+    """All payloads of the hours that a batch touches; the range of hours prunes the scan."""
+    hour = hour_stamp(F.col("stamp_ts"))
+    touched = batch.select(hour.alias("_hour"))
+    ends = touched.agg(F.min("_hour").alias("first"), F.max("_hour").alias("last")).first()
+    if ends["first"] is None:
+        return batch
+    whole = polls(batch.sparkSession, ends["first"], ends["last"]).withColumn("_hour", hour)
+    return whole.join(touched.distinct(), "_hour", "left_semi").drop("_hour")
+
+
 def refresh_stream(
     payloads: DataFrame,
     view: View,
     path: str,
     checkpoint: str,
     compact_every: int | None = None,
+    polls: Callable[[SparkSession, str, str], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Upsert every micro-batch of a payload stream into a stored view, then stop.
 
@@ -33,7 +49,12 @@ def refresh_stream(
     of the stream and its number there, so one that is replayed after a failure replaces
     itself and nothing else. Each micro-batch reads only its own files; the stored view is
     merged when it is read. ``compact_every`` compacts before every so many batches.
+
+    A view of means cannot be merged, so it needs ``polls``, which reads all payloads of an
+    hour range: the hours that a micro-batch touches are then computed from all their files.
     """
+    if view.whole_hours and polls is None:
+        raise ValueError(f"{view.spec.name} is computed from whole hours, so it needs polls")
     spark = payloads.sparkSession
     create_view(spark, view.spec, path)
     stream = _stream_name(spark, checkpoint)
@@ -45,6 +66,8 @@ def refresh_stream(
             # All batches in the log are whole, unless this one is a replay.
             if source_batch(session, view.spec, path, source) is None:
                 compact_view(session, view.spec, path)
+        if view.whole_hours:
+            batch = _whole_hours(batch, polls)
         upsert_once(view.build(batch), view.spec, path, source)
 
     return (

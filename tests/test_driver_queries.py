@@ -2,6 +2,9 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as contract
+from cityviews import schemas as S
+from cityviews.operators.shape import explode_entities
+from cityviews.plans import table_feeds as feeds
 from cityviews.plans.driver_queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -32,5 +35,17 @@ def test_plan_stays_on_the_jvm(spark, name):
         assert node not in plan
 
 
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_every_event_reports_two_stations(spark, sf):
+    events = feeds.events(spark, f"/root/testdata/sf{sf}")
+    found = explode_entities(feeds.status_feed(events), "data.stations", ["station_id"])
+    assert found.count() == 2 * events.count()
+
+
+def test_the_slices_of_a_vector_reach_its_last_number():
+    starts = [feeds.metric_start(j) for j in range(len(S.WEATHER_HOURLY_METRICS))]
+    assert {x for s in starts for x in range(s, s + 24)} == set(range(1, 65))
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0

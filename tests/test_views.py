@@ -201,3 +201,10 @@ def test_two_payloads_with_one_key_in_one_file(spark, tmp_path):
                 stations(station("s1", "l2", num_bikes_disabled=1)))
     view = views.status_live(read_payloads(spark, str(tmp_path), S.STATUS_FEED))
     assert rows(view, "legacy_id", "num_bikes_disabled") == {("l2", 1)}
+
+
+def test_a_mapped_field_that_is_no_array(spark):
+    payloads = spark.sql("""SELECT TIMESTAMP_NTZ '2023-01-05 06:00:00' AS stamp_ts,
+        named_struct('time', array('2023-01-05'), 'rain_sum', 1.0D) AS daily""")
+    with pytest.raises(ValueError, match="rain_sum"):
+        views.weather_daily(payloads)
