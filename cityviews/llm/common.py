@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -85,6 +87,31 @@ def slices(batches, rows: int = 1024):
             yield batch.slice(at, rows)
 
 
+TEXT_BYTES = 2 << 20  # of texts that a task works on together
+
+
+def by_bytes(batches, column: str, most: int = TEXT_BYTES):
+    """The rows of record batches, so many at a time that their texts have ``most`` bytes together.
+
+    A longer text comes alone, so memory is bounded by ``most`` or by the longest text.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        at = 0
+        while at < batch.num_rows:
+            upto = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
+            yield batch.slice(at, upto - at)
+            at = upto
+
+
+def place(folder: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a folder's address, in a task as on the driver."""
+    if folder.startswith("file:/") and not folder.startswith("file://"):
+        folder = folder[len("file:"):]
+    return fs.FileSystem.from_uri(folder)
+
+
 def gathered(blocks: DataFrame, width: int, dtype: str) -> np.ndarray:
     """The sum, as one array of ``width`` numbers, of ``blocks(block int, data binary)``.
 

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from cityviews.llm.common import table
+from cityviews.llm.conversation_repair import repair_damaged
 from cityviews.llm.fingerprints import fingerprint_edits
+from cityviews.llm.hard_negatives import mine
 from cityviews.llm.html_text import extract_pages
+from cityviews.llm.line_dedup import drop_lines, line_index
 from cityviews.llm.mixing import mix, plan
 from cityviews.llm.ngram_join import jaccard_components
 from cityviews.llm.packing import pack
@@ -63,9 +67,26 @@ def op10_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(vectors.withColumn("label", moved), every=50)
+
+
+def op13_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return drop_lines(docs, line_index(docs, least=10), least=10).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_html_extraction, op3_sharding, op4_mixing, op5_topk, op6_fingerprints,
-    op7_toxicity, op8_warc, op9_token_counts, op10_packing,
+    op7_toxicity, op8_warc, op9_token_counts, op10_packing, op11_conversation_repair,
+    op12_hard_negatives, op13_line_dedup,
 )}
 
 ORACLES: dict[str, str] = {}
@@ -142,3 +163,42 @@ SELECT doc_id, source, n AS tokens, pass::INTEGER AS pass, block,
     concat_ws(':', block, coalesce(doc_id::VARCHAR, 'null'), pass)), n)::INTEGER AS slot,
   round(exponent, 6) AS exponent, round(weight, 6) AS weight
 FROM g"""
+
+ORACLES["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE) FOR x IN embedding] AS f FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS a_label, a.f, v.vec_id, v.label,
+    list_inner_product(a.f, v.f)::BIGINT AS score
+  FROM v AS a JOIN v ON a.vec_id % 50 = 0 AND a.vec_id <> v.vec_id AND len(a.f) = len(v.f)
+), p AS (
+  SELECT anchor_id, a_label, f, vec_id AS positive_id, score AS positive_score FROM s WHERE label = a_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id, a_label, f ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (
+    PARTITION BY anchor_id, a_label, f, positive_id, positive_score ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id, a_label, f)
+WHERE label <> a_label AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
+ORACLES["op13_line_dedup"] = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), l AS (
+  SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d
+), k AS (
+  SELECT r, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), c AS (
+  SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10
+), kept AS (
+  SELECT r, string_agg(line, chr(10) ORDER BY i) AS kept, count(*) AS n
+  FROM k LEFT JOIN c USING (key) WHERE c.key IS NULL GROUP BY r
+)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0))::BIGINT AS n_dropped,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""

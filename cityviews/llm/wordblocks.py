@@ -13,9 +13,9 @@ import pyarrow as pa
 SPAN = 1 << 20  # bytes hashed at a time
 
 _rng = np.random.default_rng(20240229)
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_VALUE = (_rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[_LOWER]
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+_VALUE = (_rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[LOWER]
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[32, 9, 10, 11, 12, 13]] = True
 _BASE = 0x9E3779B97F4A7C15 & ~7 | 5

@@ -1,0 +1,97 @@
+import math
+
+import numpy as np
+import pytest
+from helpers import rows
+
+from cityviews.llm.hard_negatives import Blocks, hilbert, limits, mine, search_group, write_blocks
+
+KINDS = "vec_id bigint, embedding array<float>, label int, dim int, curve string, vec string, file string"
+
+
+def brute(table, every=50, positives=5, negatives=3):
+    kept = {}
+    for vec_id, vec, label, *_ in table:
+        if vec_id is None or label is None or not vec or any(x is None or not math.isfinite(x) for x in vec):
+            continue
+        row = (vec_id, label, tuple(math.floor(256 * float(np.float32(x))) for x in vec))
+        kept[row] = row
+    out = []
+    for a, label, x in kept:
+        if a % every:
+            continue
+        scored = sorted(
+            (-sum(p * q for p, q in zip(x, y)), v, k) for v, k, y in kept if v != a and len(y) == len(x))
+        for ps, p, _ in [s for s in scored if s[2] == label][:positives]:
+            hits = [(n, ns) for ns, n, k in scored if k != label and -50 * ps <= -100 * ns <= -95 * ps]
+            out += [(a, p, i + 1, n, -ps, -ns) for i, (n, ns) in enumerate(hits[:negatives])]
+    return sorted(out, key=repr)
+
+
+def frame(spark, table):
+    return spark.createDataFrame([(*r, 1, "c", "v", "f") for r in table], KINDS)
+
+
+def clustered(n=1200, dim=8, seed=3):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, dim))
+    out = []
+    for i in range(n):
+        c = int(rng.integers(12))
+        out.append((i, [float(x) for x in centres[c] + 0.05 * rng.normal(size=dim)], c % 4))
+    return out
+
+
+def test_equals_plain_python_on_clusters(spark):
+    table = clustered()
+    assert rows(mine(frame(spark, table))) == brute(table)
+
+
+def test_awkward_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    table = [
+        (0, [1.0, 0.0], 1), (1, [0.9, 0.1], 1), (2, [0.6, 0.1], 2), (3, [0.5, 0.0], 2), (3, [0.5, 0.0], 2),
+        (50, [1.0, 0.0], 1), (50, [0.7, 0.0], 3), (50, [1.0, 0.0], 1), (4, [0.6, 0.1], 2), (5, [0.6, 0.1], 3),
+        (6, None, 1), (7, [], 1), (8, [None, 1.0], 1), (9, [nan, 1.0], 1), (10, [inf, 1.0], 1), (11, [1.0], 1),
+        (None, [1.0, 1.0], 1), (12, [1.0, 1.0], None), (100, [0.0, 0.0], 2), (150, [-1.0, -1.0], 2),
+        (200, [0.5, 0.5, 0.5], 1), (13, [0.5, 0.5, 0.4], 1), (14, [0.4, 0.4, 0.4], 2), (15, [0.3, 0.3, 0.3], 4),
+        (-50, [1.0, 0.2], 1)]
+    found = rows(mine(frame(spark, table)))
+    assert found == brute(table)
+    assert found
+
+
+def test_one_vector_in_a_third_of_all_rows(spark):
+    table = clustered(900, seed=4)
+    table = [(i, table[0][1] if i % 3 == 0 else v, k) for i, v, k in table]
+    assert rows(mine(frame(spark, table))) == brute(table)
+
+
+def test_empty_table_and_lone_labels(spark):
+    assert rows(mine(frame(spark, []))) == []
+    assert rows(mine(frame(spark, [(0, [1.0], 1), (1, [1.0], 2)]))) == []
+
+
+def test_bounds_hold_and_curve_visits_neighbours():
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(20, 6)), rng.normal(size=(50, 6))
+    low, high = limits(x, y.min(0)[None, :], y.max(0)[None, :])
+    assert (low[:, 0] <= (x @ y.T).min(1)).all() and (high[:, 0] >= (x @ y.T).max(1)).all()
+    cells = np.array([[a, b, c] for a in range(4) for b in range(4) for c in range(4)], dtype=np.uint8)
+    order = cells[sorted(range(64), key=hilbert(cells, 2).__getitem__)].astype(int)
+    assert (np.abs(np.diff(order, axis=0)).sum(1) == 1).all()
+
+
+def test_zone_maps_leave_most_blocks_unread(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    dim, n = 4, 20_000
+    x = np.floor(256 * rng.normal(size=(n, dim)))
+    cell = ((x > -170).astype(np.uint8) + (x > 0) + (x > 170)).astype(np.uint8)
+    table = [(i, int(i % 2), dim, v.tobytes(), k) for i, (v, k) in enumerate(zip(x, hilbert(cell, 2)))]
+    df = spark.createDataFrame(table, "vec_id bigint, label int, dim int, vec binary, curve binary")
+    folder = write_blocks(df, str(tmp_path / "blocks"), n, file=4000, block=50)
+    blocks = Blocks(folder, dim)
+    found = search_group(blocks, 0, np.array([100]), x[100:101])
+    assert found.num_rows
+    assert blocks.read < 0.25 * n / 50
+    assert len(blocks.files) >= 4
