@@ -52,7 +52,7 @@ def edits(rows: str) -> tuple[str, int]:
     letters = bytearray(4 * (n + 1))
     for i in range(n, -1, -1):
         arcs = [_arcs(rows[i] if i < n else None, state) for state in range(4)]
-        price, final = [0] * 4, [False] * 4
+        price, final = [min(behind)] * 4, [False] * 4  # no arc is shorter than nothing
         for origin in range(4):
             path = [origin]
             while not final[path[-1]]:
