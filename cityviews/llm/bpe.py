@@ -17,8 +17,8 @@ import pyarrow as pa
 from cityviews.llm.wordblocks import text_bytes, word_hashes, word_spans
 
 END = "</w>"
-BLOCK = 4 << 20      # bytes of text looked up together
-KEEP = 1_000_000     # words that a worker remembers
+BLOCK = 1 << 20      # bytes of text looked up together
+KEEP = 400_000       # words that a worker remembers
 LONGEST = 64         # bytes of a word that is merged in numpy
 
 #: Words whose pieces are plain: printable ASCII and Latin-1 letters, no apostrophe or bar.
@@ -64,6 +64,7 @@ class WordBpe:
             while self.keys[at] >= 0:
                 at = (at + 1) % self.slots
             self.keys[at], self.rank[at] = key, i
+        del model, vocab, pairs
         self._forget()
 
     def _forget(self) -> None:

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cityviews.llm.common import by_bytes
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript iframe xmp noembed noframes".split())
 INLINE = frozenset(
@@ -299,7 +301,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, main ``text`` and its ``n_chars`` of each row of ``pages``."""
 
     def read(batches):
-        for batch in batches:
+        for batch in by_bytes(batches, "html"):
             texts = [main_text(x) for x in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),

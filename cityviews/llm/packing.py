@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityviews.llm.bpe import tokenizer
-from cityviews.llm.common import before, buckets_for, saved
+from cityviews.llm.common import before, buckets_for, by_bytes, saved
 
 STEPS = 256       # steps that lengths are grouped into for the patterns
 EACH = 50_000     # pieces that one task ranks at a time
@@ -66,7 +66,7 @@ def _pieces(docs: DataFrame, path: str, length: int, end_id: int) -> DataFrame:
 
     def cut(batches):
         encoder = tokenizer(path)
-        for batch in batches:
+        for batch in by_bytes(batches, "text"):
             rows = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                 ids = np.concatenate((ids, end)).astype("<u4")

@@ -106,10 +106,11 @@ WITH v AS (
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.f, v.f)::BIGINT AS score
-  FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.f) = len(v.f)
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.f, v.f)::BIGINT AS score, q.f
+  FROM (SELECT DISTINCT vec_id, f FROM v) AS q JOIN v
+    ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.f) = len(v.f)
 ), r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
+  SELECT *, row_number() OVER (PARTITION BY query_id, f ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 

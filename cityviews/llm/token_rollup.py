@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityviews.llm.bpe import tokenizer
-from cityviews.llm.common import saved
+from cityviews.llm.common import by_bytes, saved
 
 KEYS = ["source", "lang", "version"]
 COMMITS = "batch string, path string"
@@ -76,7 +76,7 @@ def counted(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
     def count(batches):
         encoder = tokenizer(tokenizer_path)
-        for batch in batches:
+        for batch in by_bytes(batches, "text"):
             sizes = [len(x) for x in encoder.encode(batch.column("text"))]
             kept = batch.select(["doc_id", "source", "lang", "digest", "words"])
             yield kept.append_column("pieces", pa.array(sizes, pa.int64()))

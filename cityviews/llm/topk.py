@@ -12,7 +12,9 @@ the others; centres that cannot reach that score get no copy of it.
 
 Components are floored multiples, as double. Vectors that are null, empty or hold null or
 non-finite components take no part, nor do null ids; vectors of another length are not compared.
-A query's own id is never its result. Scores are exact up to 53 bits; larger ones are rounded to
+A query's own id is never its result.
+Query rows that repeat id and vector are one query; two vectors of one id are two, each with its
+own list. Rows that repeat are candidates each on its own. Scores are exact up to 53 bits; larger ones are rounded to
 doubles, and cut off at the limits of 64 bits.
 """
 
@@ -24,15 +26,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityviews.llm.common import buckets_for, saved
+from cityviews.llm.scores import Best, floored, loose
+from cityviews.llm.scores import inner_products as _scores
 
 SAMPLE_BYTES = 4 << 20  # of the sample that centres are taken from
 CENTRES = 64
 EACH = 512              # vectors for which there is one centre, up to CENTRES
 PART = 16_384           # vectors of a centre that one task holds
 QUERIES = 4_096         # queries that meet a part in one task
-LEAF = 64               # vectors that a node need not split
-QUERY_LEAF = 8
-FAN = 48                # children of a node; a level that needs more is not split
+LEAF = 32               # vectors that a node need not split
+QUERY_LEAF = 4
+FAN = 48                # children of a node
+KEYS = ("dim", "centre", "chunk", "part")
 ROWS = "vec_id bigint, dim int, centre int, dist double, vec binary"
 
 
@@ -44,7 +49,7 @@ def top_k(vectors: DataFrame, k: int = 5, scale: float = 256.0, every: int = 50)
         F.col("vec_id").cast("bigint").alias("vec_id"),
         F.col("embedding").cast("array<double>").alias("embedding")).where(
         "vec_id is not null and size(embedding) > 0")
-    usable = saved(source.mapInArrow(_scaled(scale), "vec_id bigint, dim int, vec binary"), "vectors")
+    usable = saved(source.mapInArrow(floored(scale), "vec_id bigint, dim int, vec binary"), "vectors")
     total = usable.count()
     centres = spark.sparkContext.broadcast(_centres(usable, total))
     data = saved(usable.mapInArrow(_assigned(centres), ROWS), "assigned")
@@ -60,40 +65,23 @@ def top_k(vectors: DataFrame, k: int = 5, scale: float = 256.0, every: int = 50)
     queries = data.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "vec"]).select(
         F.col("vec_id").alias("query_id"), "dim", "centre", "chunk", "vec")
     queries = saved(queries.withColumn("floor", F.lit(None).cast("double")), "queries")
-    groups = buckets_for(queries.count(), QUERIES)
-    near = saved(_searched(queries, data, k, groups), "near")
+    near = saved(_searched(queries.withColumn("part", F.lit(0)), data.withColumn("part", F.lit(0)), k), "near")
     kth = near.groupBy("query_id", "vec").agg(
         F.when(F.count("*") >= k, F.min("score")).alias("floor"))
     rest = queries.drop("floor").join(kth, ["query_id", "vec"], "left").mapInArrow(
         _sent(centres, parts), "query_id bigint, dim int, centre int, chunk int, vec binary, floor double")
-    far = _searched(rest, data, k, groups)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return near.unionByName(far).select("query_id", "vec_id", "score").withColumn(
+    groups = buckets_for(queries.count(), QUERIES)
+    rest = saved(rest.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int")), "sent")
+    # a part is copied for those groups of queries alone that have one for it
+    asked = rest.select("dim", "centre", "chunk", F.col("part").alias("_part")).distinct()
+    met = data.join(asked, ["dim", "centre", "chunk"]).withColumn("part", F.col("_part") + 0)
+    far = _searched(rest, met, k)
+    order = Window.partitionBy("query_id", "vec").orderBy(F.desc("score"), "vec_id")
+    return near.unionByName(far).select("query_id", "vec", "vec_id", "score").withColumn(
         "rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", F.col("score").cast("bigint").alias("score"))
 
 
-def _scaled(scale: float):
-    def make(batches):
-        for batch in batches:
-            ids, dims, out = [], [], []
-            for i, x in zip(batch.column("vec_id").to_pylist(), batch.column("embedding")):
-                x = x.values
-                if x.null_count:
-                    continue
-                v = np.floor(x.to_numpy() * scale)
-                if not np.isfinite(v).all():
-                    continue
-                ids.append(i)
-                dims.append(len(v))
-                out.append(v.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(out, pa.binary())],
-                ["vec_id", "dim", "vec"])
-
-    return make
-
-
 def _centres(usable: DataFrame, total: int) -> dict[int, np.ndarray]:
     """For each length, points far apart: each is the farthest from those before it."""
     if not total:
@@ -145,7 +133,7 @@ def _sent(centres, parts):
                 best = to @ x
                 for c in range(len(to)):
                     n, radius = parts.get((dim, c), (0, 0.0))
-                    reach = _loose(best[c] + radius * np.linalg.norm(x))
+                    reach = loose(best[c] + radius * np.linalg.norm(x))
                     if floor is not None and reach < floor:
                         continue
                     out += [(q, dim, c, i, vec, floor) for i in range(n) if (c, i) != (centre, chunk)]
@@ -157,11 +145,7 @@ def _sent(centres, parts):
     return make
 
 
-def _searched(queries: DataFrame, data: DataFrame, k: int, groups: int) -> DataFrame:
-    keys = ["dim", "centre", "chunk", "part"]
-    queries = queries.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int"))
-    data = data.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-
+def _searched(queries: DataFrame, data: DataFrame, k: int) -> DataFrame:
     def search(q: pa.Table, r: pa.Table) -> pa.Table:
         found = ([], [], [])
         if q.num_rows and r.num_rows:
@@ -177,43 +161,11 @@ def _searched(queries: DataFrame, data: DataFrame, k: int, groups: int) -> DataF
             "vec": pa.array([vecs[i] for i in found[0]], pa.binary()),
             "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(found[2], pa.float64())})
 
-    wanted = queries.select("query_id", "vec", "floor", *keys).groupBy(*keys)
-    return wanted.cogroup(data.select("vec_id", "vec", *keys).groupBy(*keys)).applyInArrow(
+    wanted = queries.select("query_id", "vec", "floor", *KEYS).groupBy(*KEYS)
+    return wanted.cogroup(data.select("vec_id", "vec", *KEYS).groupBy(*KEYS)).applyInArrow(
         search, "query_id bigint, vec binary, vec_id bigint, score double")
 
 
-class Best:
-    """The best k of each query so far: greater score first, then smaller id."""
-
-    def __init__(self, ids: np.ndarray, floor: np.ndarray, k: int):
-        self.ids, self.k = ids, k
-        self.worst = floor.copy()          # a result must reach this
-        self.at = np.zeros(0, dtype=np.int64)
-        self.vec = np.zeros(0, dtype=np.int64)
-        self.score = np.zeros(0)
-
-    def offer(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
-        ok = (scores >= self.worst[rows][:, None]) & (ids[None, :] != self.ids[rows][:, None])
-        if not ok.any():
-            return
-        i, j = np.nonzero(ok)
-        at = np.concatenate((self.at, rows[i]))
-        vec = np.concatenate((self.vec, ids[j]))
-        score = np.concatenate((self.score, scores[i, j]))
-        order = np.lexsort((vec, -score, at))
-        at, vec, score = at[order], vec[order], score[order]
-        first = np.searchsorted(at, at)
-        keep = np.arange(len(at)) - first < self.k
-        self.at, self.vec, self.score = at[keep], vec[keep], score[keep]
-        n = np.bincount(self.at, minlength=len(self.ids))
-        full = np.flatnonzero(n >= self.k)
-        last = np.searchsorted(self.at, full, "right") - 1
-        self.worst[full] = np.maximum(self.worst[full], self.score[last])
-
-    def rows(self):
-        return self.at, self.vec, self.score
-
-
 class Node:
     __slots__ = ("centre", "radius", "rows", "children", "norm")
 
@@ -224,33 +176,34 @@ class Node:
 
 
 def cover_tree(x: np.ndarray, leaf: int) -> Node:
-    """A node's children are points over half its radius apart; each covers those within that."""
+    """A node's children are points of it far apart, ``FAN`` at most, each with the points it is nearest to.
+
+    They are picked until all points are within half the node's radius of one. Where ``FAN`` points
+    don't reach that far, as with many even dimensions, the radii of the children are what they are.
+    """
     top = Node(x, np.arange(len(x)), x[0])
     open_ = [top]
     while open_:
         node = open_.pop()
         if len(node.rows) <= leaf or node.radius == 0:
             continue
-        left, children = node.rows, []
-        while len(left) and len(children) < FAN:
-            far = np.sqrt(((x[left] - x[left[0]]) ** 2).sum(1))
-            inside = far <= node.radius / 2
-            children.append(Node(x, left[inside], x[left[0]]))
-            left = left[~inside]
-        if not len(left):
-            node.children = children
-            open_ += children
+        part = x[node.rows]
+        far, nearest = np.sqrt(((part - node.centre) ** 2).sum(1)), np.zeros(len(part), dtype=np.int64)
+        centres = [node.centre]
+        while len(centres) < FAN and far.max() > node.radius / 2:
+            centres.append(part[far.argmax()])
+            new = np.sqrt(((part - centres[-1]) ** 2).sum(1))
+            nearest[new < far] = len(centres) - 1
+            far = np.minimum(far, new)
+        node.children = [Node(x, node.rows[nearest == i], c) for i, c in enumerate(centres) if (nearest == i).any()]
+        open_ += node.children
     return top
 
 
-def _loose(bound):
-    return bound + 1e-9 * np.abs(bound) + 1e-6
-
-
 def _bounds(node: Node, others: list[Node]) -> np.ndarray:
     centres = np.array([o.centre for o in others])
     norm, radius = np.array([o.norm for o in others]), np.array([o.radius for o in others])
-    return _loose(centres @ node.centre + node.radius * norm + radius * node.norm + node.radius * radius)
+    return loose(centres @ node.centre + node.radius * norm + radius * node.norm + node.radius * radius)
 
 
 def dual(x: np.ndarray, y: np.ndarray, ids: np.ndarray, best: Best) -> None:
@@ -272,13 +225,3 @@ def dual(x: np.ndarray, y: np.ndarray, ids: np.ndarray, best: Best) -> None:
         else:
             pairs = list(zip(_bounds(r, q.children).tolist(), q.children, [r] * len(q.children)))
         stack += sorted(pairs, key=lambda p: p[0])
-
-
-def _scores(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Inner products, exact if they fit into 53 bits; larger ones by whole numbers."""
-    if np.abs(x).max() * np.abs(y).max() * x.shape[1] < 2 ** 53:
-        return x @ y.T
-    whole = [[int(v) for v in row] for row in x], [[int(v) for v in row] for row in y]
-    most = 2 ** 63 - 1024  # the greatest double that is a long
-    return np.array([[float(max(-most, min(most, sum(a * b for a, b in zip(u, v)))))
-                      for v in whole[1]] for u in whole[0]])

@@ -6,7 +6,9 @@ learning rate; L1 keeps the weights of few (places that a single text has get no
 sent to all executors.
 
 The model is fitted on a sample of at most ``SAMPLE`` labelled rows, those with the least hash of
-their id, in one task. Scoring reads every whole text; its rows are independent of each other.
+their id, as far as their features fit into ``SAMPLE_BYTES``, in one task. The bias is then set
+so that ``THRESHOLD`` falls where the labels part best, by models fitted on the other folds of the same rows.
+Scoring reads every whole text; its rows are independent of each other.
 A null or empty text has no features and gets the score of the bias alone. Labels other than 0
 and 1 are ignored; an id with both counts as toxic.
 """
@@ -15,17 +17,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cityviews.llm.common import saved
+from cityviews.llm.common import by_bytes, saved
 from cityviews.llm.wordblocks import SPAN, WHITE, mix, text_bytes, word_hashes, word_spans
 
 SAMPLE = 16_384   # labelled rows that the model is fitted on, at most
+SAMPLE_BYTES = 160 << 20  # of their features, four bytes each, at most
 PLACES = 1 << 22  # hashed features
 STEM = 4          # bytes of a word that its stem keeps
 GAPS = (1, 2, 3)  # distances of the two words of a pair
 THRESHOLD = 0.7
+FOLDS = 3         # of the labelled rows, to set the bias
+STRICT = 10       # a share of clean rows called toxic weighs so many times that of toxic ones missed
 
 #: Bytes between words: white space and ASCII punctuation.
 BREAKS = WHITE.copy()
@@ -58,7 +64,7 @@ def _hashed(column: pa.Array):
 class Ftrl:
     """Weights that follow the regularised leader; a document is a set of places."""
 
-    def __init__(self, places: int, alpha=1.0, beta=1.0, l1=4.0, l2=0.0):
+    def __init__(self, places: int, alpha=1.0, beta=1.0, l1=8.0, l2=0.0):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z = np.zeros(places + 1)  # the last place is the bias
         self.n = np.zeros(places + 1)
@@ -76,6 +82,39 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
+def unseen(rows: list, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sums of weights, labels) of ``rows``, each by a model that learnt from the other folds."""
+    sums, labels = np.zeros(len(rows)), np.array([y for _, y in rows])
+    for fold in range(FOLDS):
+        model = Ftrl(PLACES)
+        for _ in range(rounds):
+            for i, (x, y) in enumerate(rows):
+                if i % FOLDS != fold:
+                    model.learn(x, y)
+        for i in range(fold, len(rows), FOLDS):
+            sums[i] = model.weights(rows[i][0]).sum()
+    return sums, labels
+
+
+def boundary(sums: np.ndarray, labels: np.ndarray) -> float:
+    """The sum that parts the labels best: toxic rows found, less ``STRICT`` times the share of others.
+
+    Of equally good ones, the middle of the last stretch. Without both labels, the one that means ``THRESHOLD``.
+    """
+    toxic, clean = np.sort(sums[labels == 1]), np.sort(sums[labels == 0])
+    if not len(toxic) or not len(clean):
+        return logit(THRESHOLD)
+    cuts = np.unique(sums)
+    gain = (len(toxic) - np.searchsorted(toxic, cuts)) / len(toxic) - STRICT * (
+        len(clean) - np.searchsorted(clean, cuts)) / len(clean)
+    best = np.flatnonzero(gain >= gain.max() - 1e-12)[-1]
+    return float(cuts[best] if best == 0 else (cuts[best] + cuts[best - 1]) / 2)
+
+
+def logit(share: float) -> float:
+    return float(np.log(share / (1 - share)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = 5) -> tuple:
     """(places, weights) learnt from ``labels(doc_id, toxic)`` on ``docs(doc_id, text)``."""
     picked = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(
@@ -85,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int =
         F.broadcast(saved(picked, "sample")), "doc_id")
 
     def featured(batches):
-        for batch in batches:
+        for batch in by_bytes(batches, "text"):
             out = []
             for places, whose, n in _hashed(batch.column("text")):
                 cut = np.searchsorted(whose := whose[order := np.argsort(whose, kind="stable")], np.arange(n + 1))
@@ -97,13 +136,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int =
 
     def learnt(batches):
         model = Ftrl(PLACES)
-        seen = list(batches)
+        seen, room = [], SAMPLE_BYTES
+        for batch in batches:
+            sizes = pc.binary_length(batch.column("places")).to_numpy()
+            fits = np.cumsum(sizes) <= room
+            if fits.any():
+                seen.append(batch.filter(pa.array(fits)))
+                room -= int(sizes[fits].sum())
+        rows = [(np.append(np.frombuffer(x.as_buffer(), dtype=np.int32), PLACES), y) for batch in seen
+                for y, x in zip(batch.column("label").to_pylist(), batch.column("places"))]
         for _ in range(rounds):
-            for batch in seen:
-                for y, x in zip(batch.column("label").to_pylist(), batch.column("places")):
-                    model.learn(np.append(np.frombuffer(x.as_buffer(), dtype=np.int32), PLACES), y)
-        at = np.flatnonzero(np.abs(model.z) > model.l1)
+            for x, y in rows:
+                model.learn(x, y)
+        shift = logit(THRESHOLD) - boundary(*unseen(rows, rounds)) if rows else 0.0
+        at = np.union1d(np.flatnonzero(np.abs(model.z) > model.l1), [PLACES])
         w = model.weights(at)
+        w[-1] += shift
         yield pa.RecordBatch.from_pydict({
             "places": pa.array([at.astype(np.int32).tobytes()], pa.binary()),
             "weights": pa.array([w.astype(np.float32).tobytes()], pa.binary())})
@@ -125,7 +173,7 @@ def score(docs: DataFrame, model: tuple, *keep: Column) -> DataFrame:
         places, weights = sent.value
         table = np.zeros(PLACES + 1, dtype=np.float32)
         table[np.frombuffer(places, dtype=np.int32)] = np.frombuffer(weights, dtype=np.float32)
-        for batch in batches:
+        for batch in by_bytes(batches, "_text"):
             sums = []
             for found, whose, n in _hashed(batch.column("_text")):
                 hit = np.flatnonzero(table[found])

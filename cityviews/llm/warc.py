@@ -2,8 +2,9 @@
 
 Of pages with equal payloads of ``REPEATS`` bytes or more, the one with the least ``page_id`` is a
 response and the others revisit it. Every record is a gzip member of its own. Records are sorted
-by ``page_id``; a file begins where the compressed bytes before it reach the next multiple of the
-file size, so the files' bytes follow from the pages alone.
+by ``page_id``, then digest and url; a file begins where the compressed bytes before it reach the
+next multiple of the file size, so the files' bytes follow from the pages alone. Pages of one id,
+or without one, are spread over files like others, as far as their payloads differ.
 
 A task writes each file under a temporary name and renames it when it is whole; a file counts only
 if the manifest, which Spark commits last, names it. A task that runs again writes the same bytes.
@@ -14,6 +15,7 @@ page revisits like others. Rows with one id and one payload are all responses.
 
 from __future__ import annotations
 
+import bisect
 import gzip
 import hashlib
 import uuid
@@ -22,21 +24,21 @@ from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityviews.llm.common import before, id_ranges, saved
+from cityviews.llm.common import before, by_bytes, place, saved
+from cityviews.sinks.workdir import work_folder
 
 REPEATS = 100            # bytes from which equal payloads are stored once
-FILE_BYTES = 16 << 20    # compressed size at which a file is full
+LEAST = 16 << 20         # compressed size at which a file is full: at least, and
+MOST = 1 << 30           # at most
 LEVEL = 4                # of gzip
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CHUNK = 1 << 20
 
-RECORD = "page_id bigint, url string, payload_bytes bigint, payload_digest string, refers_to bigint, " \
-         "revisit boolean, member binary, size bigint"
 MANIFEST = "name string, records bigint, bytes bigint, digest string"
 
 
@@ -61,82 +63,111 @@ def _name(page) -> str:
     return "null" if page is None else str(page)
 
 
-def _members(pages: DataFrame) -> DataFrame:
-    """All records, ready to be written, with their compressed sizes."""
-    html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    page = F.col("page_id").cast("bigint").alias("page_id")
-    facts = pages.select(page, F.octet_length(html).alias("n"),
-                         F.sha2(F.encode(html, "UTF-8"), 256).alias("payload_digest"))
-    heads = facts.where(F.col("n") >= REPEATS).groupBy("payload_digest").agg(
-        F.count("*").alias("_c"), F.min("page_id").alias("head")).where("_c > 1").drop("_c")
-    again = facts.join(heads, "payload_digest").where("not (page_id <=> head)").select(
-        F.col("page_id").alias("_p"), F.col("payload_digest").alias("_d"), "head").distinct()
+def _facts(pages: DataFrame) -> DataFrame:
+    """A narrow row per page: what decides on its record, and the compressed size as a response."""
 
-    def compressed(batches):
-        for batch in batches:
+    def measured(batches):
+        for batch in by_bytes(batches, "html"):
             out = []
             for page, url, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 payload = (text or "").encode()
                 digest = hashlib.sha256(payload).hexdigest()
-                out.append((page, url, len(payload), digest,
-                            _record(page, url, len(payload), digest, None, False, payload)))
+                size = len(_record(page, url, len(payload), digest, None, False, payload))
+                out.append((page, url, len(payload), digest, size))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in out], t) for i, t in enumerate(
-                    (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()))],
-                ["page_id", "url", "payload_bytes", "payload_digest", "member"])
+                    (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()))],
+                ["page_id", "url", "payload_bytes", "payload_digest", "size"])
+
+    return _plain(pages).mapInArrow(
+        measured, "page_id bigint, url string, payload_bytes bigint, payload_digest string, size bigint")
+
+
+def _plain(pages: DataFrame) -> DataFrame:
+    return pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
+                        F.col("html").cast("string").alias("html"))
 
-    rows = pages.select(page, F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(
-        compressed,
-        "page_id bigint, url string, payload_bytes bigint, payload_digest string, member binary")
-    rows = rows.join(again, F.col("page_id").eqNullSafe(F.col("_p")) & (
-        F.col("payload_digest") == F.col("_d")), "left").select(
-        *rows.columns, F.col("head").alias("refers_to"), F.col("_d").isNotNull().alias("revisit"))
 
-    def settled(batches):
+def _settled(facts: DataFrame) -> DataFrame:
+    """``facts`` with ``refers_to`` and ``revisit``, and the sizes of revisits."""
+    heads = facts.where(F.col("payload_bytes") >= REPEATS).groupBy("payload_digest").agg(
+        F.count("*").alias("_c"), F.min("page_id").alias("head")).where("_c > 1")
+    rows = facts.join(heads, "payload_digest", "left").withColumn(
+        "revisit", F.col("_c").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("head")))
+    rows = rows.withColumn("refers_to", F.when(F.col("revisit"), F.col("head")))
+    names = ("page_id", "url", "payload_bytes", "payload_digest", "refers_to", "revisit", "size")
+
+    def sized(batches):
         for batch in batches:
-            names = ("page_id", "url", "payload_bytes", "payload_digest", "refers_to", "revisit", "member")
-            cols = {k: batch.column(k) for k in names}
-            members = cols["member"].to_pylist()
-            for i in np.flatnonzero(cols["revisit"].to_numpy(zero_copy_only=False)).tolist():
-                members[i] = _record(*(cols[k][i].as_py() for k in names[:-1]), b"")
-            cols["member"] = pa.array(members, pa.binary())
-            cols["size"] = pa.array([len(x) for x in members], pa.int64())
-            yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
+            sizes = batch.column("size").to_pylist()
+            for i in np.flatnonzero(batch.column("revisit").to_numpy(zero_copy_only=False)).tolist():
+                sizes[i] = len(_record(*(batch.column(k)[i].as_py() for k in names[:-1]), b""))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in names[:-1]), pa.array(sizes, pa.int64())], list(names))
+
+    return rows.select(*names).mapInArrow(
+        sized, "page_id bigint, url string, payload_bytes bigint, payload_digest string, "
+        "refers_to bigint, revisit boolean, size bigint").drop("url", "payload_bytes")
 
-    return rows.mapInArrow(settled, RECORD)
 
+def write_archives(pages: DataFrame, folder: str, file_bytes: int | None = None) -> DataFrame:
+    """Write ``pages(page_id, url, html)`` below ``folder``; returns the manifest.
 
-def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Write ``pages(page_id, url, html)`` below ``folder``; returns the manifest."""
+    Without ``file_bytes`` a file has a thousandth of all bytes, but neither less than ``LEAST`` nor
+    more than ``MOST``. Narrow rows alone decide where files begin; the html is shuffled once.
+    """
     spark = pages.sparkSession
-    records = saved(_members(pages), "records")
-    sizes = records.select("page_id", "payload_digest", "size")
-    sizes = before(sizes.withColumn("_r", id_ranges(sizes, "page_id", 20_000)), [], "_r",
-                   [F.col("page_id"), F.col("payload_digest"), F.col("size")], F.col("size"), "_at")
-    firsts = sizes.withColumn("file", F.floor(F.col("_at") / file_bytes)).groupBy("file").agg(
-        F.min("page_id").alias("first"))
-    # one number per file: some 100,000 for 100 TB of pages in files of usual size
-    cuts = sorted((r["first"], r["file"]) for r in firsts.where("first is not null").collect())
-    sent = spark.sparkContext.broadcast(np.array([c[0] for c in cuts], dtype=np.int64))
+    order = ["page_id", "payload_digest", "size"]
+    rows = _settled(saved(_facts(pages), "facts")).repartitionByRange(*order).withColumn(
+        "part", F.spark_partition_id())
+    rows = saved(rows, "sizes")
+    if file_bytes is None:
+        total = rows.agg(F.sum("size")).first()[0] or 0
+        file_bytes = min(MOST, max(LEAST, total // 1000))
+    placed = before(rows, [], "part", [F.col(c) for c in order], F.col("size"), "_at")
+    cuts = work_folder(spark, "cuts")
+    placed.groupBy(F.floor(F.col("_at") / file_bytes).alias("file")).agg(F.min(F.struct(
+        F.col("page_id").isNotNull().alias("known"), F.coalesce("page_id", F.lit(0)).alias("page_id"),
+        "payload_digest")).alias("first")).select("first.*", "file").write.parquet(cuts)
+    files = max(1, spark.read.parquet(cuts).count())
 
     def numbered(batches):
-        for batch in batches:
-            ids = batch.column("page_id")
-            at = np.searchsorted(sent.value, ids.fill_null(0).to_numpy(), "right") - 1
-            at[ids.is_null().to_numpy(zero_copy_only=False)] = -1
+        system, path = place(cuts)
+        first = pq.read_table(path, filesystem=system)  # a row per file, read by each task
+        first = sorted(zip(*(first.column(k).to_pylist() for k in ("known", "page_id", "payload_digest", "file"))))
+        starts, numbers = [x[:3] for x in first], [x[3] for x in first]
+        for batch in by_bytes(batches, "html"):
+            ids = batch.column("page_id").to_pylist()
+            digests = [d or hashlib.sha256((x or "").encode()).hexdigest() for d, x in zip(
+                batch.column("payload_digest").to_pylist(), batch.column("html").to_pylist())]
+            at = [max(0, bisect.bisect_right(starts, (i is not None, i or 0, d)) - 1) for i, d in zip(ids, digests)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at.astype(np.int64)), ids, batch.column("payload_digest"), batch.column("member")],
-                ["file", "page_id", "payload_digest", "member"])
-
-    rows = records.select("page_id", "payload_digest", "member").mapInArrow(
-        numbered, "file bigint, page_id bigint, payload_digest string, member binary")
-    rows = rows.repartitionByRange("file").sortWithinPartitions(
-        "file", "page_id", "payload_digest", "member")
+                [pa.array(at, pa.int32()), pa.array([numbers[k] for k in at], pa.int64()), batch.column("page_id"),
+                 pa.array(digests, pa.string()), batch.column("refers_to"), batch.column("url"), batch.column("html")],
+                ["place", "file", "page_id", "payload_digest", "refers_to", "url", "html"])
+
+    none = F.lit(None).cast("string")
+    # the plan of a revisit comes before the page itself
+    plans = rows.where("revisit").select(
+        "page_id", "payload_digest", "refers_to", none.alias("url"), none.alias("html")).distinct()
+    whole = _plain(pages).select(
+        "page_id", none.alias("payload_digest"), F.lit(None).cast("bigint").alias("refers_to"), "url", "html")
+    sent = plans.unionByName(whole).mapInArrow(
+        numbered, "place int, file bigint, page_id bigint, payload_digest string, refers_to bigint, url string, html string")
+    sent = sent.repartitionById(files, F.col("place")).sortWithinPartitions(
+        "file", "page_id", "payload_digest", F.col("refers_to").isNull(), "url")
 
     def written(batches):
-        done, writer = [], None
-        for batch in batches:
-            for file, member in zip(batch.column("file").to_pylist(), batch.column("member").to_pylist()):
+        done, writer, plan = [], None, None
+        for batch in by_bytes(batches, "html"):
+            for file, page, digest, refers_to, url, text in zip(*(batch.column(k).to_pylist() for k in (
+                    "file", "page_id", "payload_digest", "refers_to", "url", "html"))):
+                if refers_to is not None:
+                    plan = page, digest, refers_to
+                    continue
+                payload = (text or "").encode()
+                revisit = plan is not None and plan[:2] == (page, digest)
+                member = _record(page, url, len(payload), digest, plan[2] if revisit else None, revisit, payload)
                 if writer is None or writer.number != file or writer.size >= 2 * file_bytes:
                     part = 0
                     if writer is not None:
@@ -150,17 +181,10 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
             [pa.array([x[i] for x in done], t) for i, t in enumerate(
                 (pa.string(), pa.int64(), pa.int64(), pa.string()))], ["name", "records", "bytes", "digest"])
 
-    rows.mapInArrow(written, MANIFEST).write.parquet(f"{folder}/manifest")
+    sent.mapInArrow(written, MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
-def place(folder: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a folder's address, in a task as on the driver."""
-    if folder.startswith("file:/") and not folder.startswith("file://"):
-        folder = folder[len("file:"):]
-    return fs.FileSystem.from_uri(folder)
-
-
 class _File:
     """One archive, under a temporary name until it is closed."""
 

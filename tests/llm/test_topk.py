@@ -82,3 +82,25 @@ def test_large_components():
     x = np.array([[2.0 ** 40, 1.0]])
     assert _scores(x, x)[0, 0] == 2.0 ** 63 - 1024
     assert _scores(np.array([[2.0 ** 29, 1.0]]), np.array([[2.0 ** 29, 1.0]]))[0, 0] == 2.0 ** 58 + 1
+
+
+def test_trees_of_even_vectors_have_levels(monkeypatch):
+    """The given vectors fill 64 dimensions evenly: no node holds two near ones, so bounds settle little there."""
+    import pyarrow.parquet as pq
+
+    x = np.floor(256 * np.array(pq.read_table("/root/testdata/sf0.1/embeddings.parquet")["embedding"].to_pylist()))
+    top, depth = cover_tree(x, topk.LEAF), 0
+    level, leaves = [top], []
+    while level:
+        depth += 1
+        leaves += [n for n in level if not n.children]
+        level = [c for n in level for c in n.children]
+    assert depth >= 3 and max(len(n.rows) for n in leaves) <= topk.LEAF
+    assert sorted(np.concatenate([n.rows for n in leaves])) == list(range(len(x)))
+
+
+def test_two_vectors_of_one_query_id(spark):
+    data = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [1.0, 0.0]), (1, [1.0, 0.5]), (2, [0.25, 1.0])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    assert rows(top_k(df, 5, 256.0, 50)) == sorted(
+        [(50, 1, 1, 65536), (50, 2, 2, 16384), (50, 1, 2, 65536), (50, 2, 1, 32768)], key=repr)
