@@ -1,14 +1,20 @@
 """Main text of web pages by composite text density.
 
 Each node of a page's tree gets a density: characters per tag, lowered by the share of link
-characters and link tags in it. The node whose children's densities have the greatest sum holds
-the text. The least density on its path up to the body is the threshold: every other subtree
-that reaches it is searched for its own node of greatest sum. Where the page marks an article
-(or main part) around the node, that is taken whole instead.
-
-What cannot be article text is taken out of the tree before: scripts, styles, forms, menus, page
-headers and footers, sidebars, adverts, notices and reader comments, told by element, role, or
-words of class and id. A null page, or one without text, gives empty text.
+characters and link tags in it. Formatting inside a line is no tag of its own. The node whose
+children's densities have the greatest sum holds the text. The least density on its path up to the
+body is the threshold: every other subtree that reaches it is searched for its own node of
+greatest sum. Of equal sums, a marked article or main part wins. If the body itself wins and one
+block has ``MOSTLY`` all of its sum, that block is taken. The last heading of the first order
+before the text belongs to it.
+
+Elements that cannot be article text (scripts, styles, menus, page headers and footers, asides,
+fields) are taken out before. Forms and blocks whose class or id names a menu, sidebar, advert,
+notice or reader comments go too, as whole words that no other part denies (``no-comments``,
+``has-sidebar``, ``ad-free``). That is a hint only: one with more than half of the page's text, few
+of it links, stays unless it names an advert or comments, and so does any that nearly all text is in. A null page, or one
+without text, gives empty text. Rows that repeat are extracted each on its own; the tree is walked
+without recursion, so depth has no bound.
 """
 
 from __future__ import annotations
@@ -30,8 +36,7 @@ INLINE = frozenset(
     "output progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 DROPPED = frozenset(
     "head script style title textarea noscript iframe xmp noembed noframes template svg canvas object "
-    "audio video nav footer aside form button select option optgroup datalist fieldset input label "
-    "dialog menu map".split())
+    "audio video nav footer aside button select option optgroup datalist input dialog menu map".split())
 ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
     "toolbar status".split())
@@ -42,8 +47,18 @@ HINTS = frozenset(
     "social share sharing related recommended comment comments respond disqus login search form "
     "pagination pager toolbar widget widgets skip".split())
 HEADERS = frozenset("header topbar".split())
+#: Hints that hold however much text is in the block.
+SURE = frozenset(
+    "comment comments respond disqus ad ads adv advert adverts advertisement advertising adsense sponsor "
+    "sponsored promo promotion cookie cookies consent gdpr".split())
+#: Parts of a class or id that deny the others, or only tell how a page is laid out.
+DENIALS = frozenset(
+    "no not non has have with without hide free less open closed enabled disabled on off layout theme".split())
 KEPT = frozenset("html body article main".split())
 TEXT_PARTS = frozenset("article main".split())
+TEXT_WORDS = frozenset("article main entry post story content".split())
+LINES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th".split())
+MOSTLY = 0.8
 #: A start tag of the key closes an open element of the value, up to a boundary.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -69,11 +84,11 @@ PART = re.compile(r"[\s_\-]+|(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "up", "items", "drop", "link", "chars", "links", "tags", "link_tags", "density",
+    __slots__ = ("tag", "up", "items", "drop", "hint", "link", "chars", "links", "tags", "link_tags", "density",
                  "total")
 
-    def __init__(self, tag: str, up: Node | None, drop: bool = False):
-        self.tag, self.up, self.drop = tag, up, drop
+    def __init__(self, tag: str, up: Node | None, drop: bool = False, hint: frozenset | None = None):
+        self.tag, self.up, self.drop, self.hint = tag, up, drop, hint
         self.link = tag == "a" or (up is not None and up.link)
         self.items: list[Node | str] = []
 
@@ -154,8 +169,8 @@ def _opened(at: Node, tag: str, attributes: str) -> Node:
         at = _closed(at, CLOSES[tag], BOUNDS[tag])
     elif tag == "body":
         at = _closed(at, {"head"}, frozenset())
-    drop = at.drop or _useless(at, tag, attributes)
-    node = Node(tag, at, drop)
+    drop = at.drop or tag in DROPPED or tag == "header" and at.tag in ("html", "body")
+    node = Node(tag, at, drop, None if drop else _hint(at, tag, attributes))
     at.items.append(node)
     return node
 
@@ -181,26 +196,21 @@ def _ended(at: Node, tag: str) -> Node:
     return at
 
 
-def _useless(at: Node, tag: str, attributes: str) -> bool:
-    if tag in DROPPED:
-        return True
-    if tag in KEPT:
-        return False
-    inside = None
-    if tag == "header":
-        inside = _in_text(at)
-        if not inside:
-            return True
-    if "=" not in attributes:
-        return False
+def _hint(at: Node, tag: str, attributes: str) -> frozenset | None:
+    """Words of the element that speak against it; None if there are none."""
+    found = {"form"} if tag == "form" else set()
+    if tag in KEPT or "=" not in attributes:
+        return frozenset(found) or None
     for key, a, b, c in ATTRIBUTE.findall(attributes):
-        words = {w.lower() for w in PART.split(html.unescape(a or b or c)) if w}
-        if key.lower() == "role":
-            if words & ROLES:
-                return True
-        elif words & HINTS or words & HEADERS and not words & TEXT_PARTS and not _in_text(at):
-            return True
-    return False
+        for name in html.unescape(a or b or c).split():
+            words = {w.lower() for w in PART.split(name) if w}
+            if key.lower() == "role":
+                found |= words & ROLES
+            elif not words & DENIALS:
+                found |= words & HINTS
+                if words & HEADERS and not words & TEXT_WORDS and not _in_text(at):
+                    found |= words & HEADERS
+    return frozenset(found) or None
 
 
 def _in_text(at: Node | None) -> bool:
@@ -211,11 +221,16 @@ def _in_text(at: Node | None) -> bool:
     return False
 
 
-def _measured(top: Node) -> list[Node]:
-    """All kept nodes, parents first, with characters and tags, and those in links, counted."""
+def _kept(top: Node) -> list[Node]:
+    """All nodes that are not dropped, parents first."""
     nodes = [top]
     for node in nodes:
         nodes.extend(x for x in node.items if isinstance(x, Node) and not x.drop)
+    return nodes
+
+
+def _count(nodes: list[Node]) -> None:
+    """Characters and tags below each node, and those in links."""
     for node in reversed(nodes):
         node.chars = node.links = node.tags = node.link_tags = 0
         for x in node.items:
@@ -226,14 +241,49 @@ def _measured(top: Node) -> list[Node]:
             elif not x.drop:
                 node.chars += x.chars
                 node.links += x.links
-                node.tags += 1 + x.tags
+                node.tags += (x.tag == "a" or x.tag not in INLINE) + x.tags
                 node.link_tags += x.link_tags + (x.tag == "a")
+
+
+def _take_hints(top: Node) -> None:
+    """Drop what hints speak against, unless the page's text is in it."""
+    nodes = _kept(top)
+    if not any(n.hint for n in nodes):
+        return
+    _count(nodes)
+    inside: dict[int, Node] = {}  # hinted nodes that none is above
+    for n in nodes:
+        over = inside.get(id(n.up)) if n.up is not None else None
+        if over is not None:
+            inside[id(n)] = over
+        elif n.hint and not (not n.hint & SURE and 2 * n.chars > top.chars and 2 * n.links < n.chars):
+            inside[id(n)] = n
+    outer = [n for n in nodes if inside.get(id(n)) is n]
+    rest = top.chars - sum(n.chars for n in outer)
+    largest = max(outer, key=lambda n: n.chars, default=None)
+    if largest is not None and 20 * rest < top.chars and 2 * largest.links < largest.chars:
+        outer.remove(largest)  # nearly all text is in what hints speak against
+        largest.hint = None
+        for n in outer:
+            n.drop = True
+        _take_hints(top)
+        return
+    for n in outer:
+        n.drop = True
+
+
+def _measured(top: Node) -> list[Node]:
+    """All kept nodes, parents first, with their densities and the sums of their children's."""
+    _take_hints(top)
+    nodes = _kept(top)
+    _count(nodes)
     whole = next((n for n in nodes if n.tag == "body"), top)
     ratio = whole.links / max(1, whole.chars)
     for node in nodes:
         node.density = _density(node, ratio)
-    for node in nodes:
-        node.total = sum(x.density for x in node.items if isinstance(x, Node) and not x.drop)
+    for node in reversed(nodes):
+        node.total = sum(x.total if x.tag in INLINE else x.density
+                         for x in node.items if isinstance(x, Node) and not x.drop)
     return nodes
 
 
@@ -252,20 +302,21 @@ def main_text(page: str | None) -> str:
         return ""
     top = parse(page)
     nodes = _measured(top)
-    best = max(nodes, key=lambda n: n.total)
-    around, look = None, best
-    while look is not None:
-        if look.tag == "article" or look.tag == "main" and around is None:
-            around = look
+    best = max((n for n in nodes if n.tag not in INLINE), key=lambda n: (n.total, n.tag in TEXT_PARTS))
+    while best.tag in ("html", "body"):
+        heavy = [x for x in best.items if isinstance(x, Node) and not x.drop
+                 and x.tag not in INLINE and x.tag not in LINES and x.density >= MOSTLY * best.total > 0]
+        if not heavy:
+            break
+        best = heavy[0]
+    look, least = best, best.density
+    while look is not None and look.tag != "html":
+        least = min(least, look.density)
         look = look.up
-    if around is not None:
-        chosen = {id(around)}
-    else:
-        look, least = best, best.density
-        while look is not None and look.tag != "html":
-            least = min(least, look.density)
-            look = look.up
-        chosen = _marked(nodes, least) | {id(best)}
+    chosen = _marked(nodes, least) | {id(best)}
+    heading = _heading(top, best)
+    if heading is not None:
+        chosen.add(id(heading))
     out: list[str] = []
     stack: list = [(top, False)]
     while stack:
@@ -297,6 +348,19 @@ def _marked(nodes: list[Node], least: float) -> set[int]:
     return {id(most[id(n)]) for n in nodes if n.tag != "html" and n.chars and n.density >= least}
 
 
+def _heading(top: Node, best: Node) -> Node | None:
+    """The last h1 that comes before ``best`` in the page."""
+    found, stack = None, [top]
+    while stack:
+        node = stack.pop()
+        if node is best:
+            return found
+        if node.tag == "h1":
+            found = node
+        stack.extend(x for x in reversed(node.items) if isinstance(x, Node) and not x.drop)
+    return None
+
+
 def extract_pages(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, main ``text`` and its ``n_chars`` of each row of ``pages``."""
 

@@ -54,3 +54,23 @@ def test_pages_by_brute_force():
         part = re.search(r"<article>(.*?)(</article>|<footer>)", page, re.S)[1]
         part = re.sub(r"<[^>]+>", " ", re.sub(r"</?b>", "", part))
         assert main_text(page) == " ".join(html.unescape(part).split())
+
+
+def test_names_that_deny_or_wrap_keep_their_text():
+    for wrap in ('<div class="content has-sidebar">', '<div class="post no-comments">', '<div class="layout-with-nav">',
+                 '<div class="ad-free">', "<form>", '<div class="page-widget">', '<div id="adsFree" class="noSidebar">'):
+        tag = wrap[1:].split()[0].rstrip(">")
+        assert main_text(f"<html><body>{wrap}<h1>Title</h1>{BODY}</{tag}></body></html>") == "Title " + TEXT
+        assert main_text(f"<html><body><div>{wrap}<h1>Title</h1><div>{BODY}</div></{tag}></div>"
+                         "<div>short note</div></body></html>") == "Title " + TEXT
+
+
+def test_density_decides_every_page():
+    """Without their marks, pages give the same text; a wrapper and a long advert change nothing."""
+    for page in pq.read_table("/root/testdata/sf0.1/pages.parquet")["html"].to_pylist():
+        text = main_text(page)
+        bare = page.replace("<article", "<div").replace("</article", "</div")
+        assert main_text(bare) == text
+        part = re.search(r"<article>(.*?)(</article>|<footer>)", page, re.S)[1]
+        part = re.sub(r"<[^>]+>", " ", re.sub(r"</?b>", "", part))
+        assert text == " ".join(html.unescape(part).split())
