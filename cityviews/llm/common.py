@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,10 +26,46 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage: a lost executor costs no more than the step it was working on.
     """
     path = work_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m"):
+    """Jobs begun inside send rows to Python in batches of ``size``, whatever the session has set.
+
+    Rows hold whole texts or sets, so Spark's 64 MB for each of an executor's tasks adds up.
+    """
+    old = spark.conf.get(BATCH, None)
+    spark.conf.set(BATCH, size)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(BATCH)
+        else:
+            spark.conf.set(BATCH, old)
+
+
+def lean(task):
+    """``task`` over batches, as one that gives memory back at its end: workers outlive their tasks."""
+
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            libc = ctypes.CDLL(None)
+            if hasattr(libc, "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return run
+
+
 def before(
     df: DataFrame, groups: Sequence[str], bucket: str, order: Sequence[Column], value: Column,
     name: str, carry: Sequence[str] = (),
@@ -141,8 +180,6 @@ BLOCKS = 64
 
 def as_blocks(counts: np.ndarray):
     """The non-empty blocks of one task's tally, as a record batch."""
-    import pyarrow as pa
-
     parts = counts.reshape(BLOCKS, -1)
     full = np.flatnonzero(parts.any(axis=1))
     return pa.RecordBatch.from_pydict({

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityviews.llm.common import as_blocks, gathered, saved, slices
+from cityviews.llm.common import as_blocks, by_bytes, gathered, lean, saved, slices
 from cityviews.llm.components import roots
 from cityviews.llm.wordblocks import distinct, shingles
 
@@ -101,7 +101,7 @@ def _tally(docs: DataFrame, words: int) -> np.ndarray:
                 counts[np.unique(h & np.uint64(CELLS - 1))] += 1
         yield as_blocks(counts)
 
-    return gathered(docs.select("text").mapInArrow(count, "block int, data binary"), CELLS, "uint32")
+    return gathered(docs.select("text").mapInArrow(lean(count), "block int, data binary"), CELLS, "uint32")
 
 
 def _frequent(counts: np.ndarray) -> np.ndarray:
@@ -113,7 +113,7 @@ def _frequent(counts: np.ndarray) -> np.ndarray:
 def _features(docs, words, per_cent, frequent) -> DataFrame:
     def make(batches):
         heavy = frequent.value
-        for batch in slices(batches):
+        for batch in by_bytes(slices(batches), "text"):
             out = {k: [] for k in ("n", "cls", "gid", "prefix", "bits", "wide")}
             for h in shingles(batch.column("text"), words):
                 s = distinct(h)
@@ -146,7 +146,7 @@ def _features(docs, words, per_cent, frequent) -> DataFrame:
             ], ["doc_id", "n", "cls", "gid", "prefix", "bits", "wide"])
 
     return docs.mapInArrow(
-        make, "doc_id bigint, n int, cls binary, gid binary, prefix array<bigint>, bits binary, "
+        lean(make), "doc_id bigint, n int, cls binary, gid binary, prefix array<bigint>, bits binary, "
         "wide binary")
 
 
@@ -215,7 +215,7 @@ def _pairs(lists: DataFrame, looks: DataFrame, known: DataFrame | None, per_cent
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    return rows.mapInArrow(find, "a bigint, b bigint").distinct()
+    return rows.mapInArrow(lean(find), "a bigint, b bigint").distinct()
 
 
 def _whole_lists(batches, keys):
@@ -317,7 +317,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame, per_cent: int) -> DataFrame
 
     maps = classes.select("cid", "n", "wide")
     return pairs.join(maps.toDF("a", "m", "x"), "a").join(maps.toDF("b", "n", "y"), "b").mapInArrow(
-        check, "a bigint, b bigint")
+        lean(check), "a bigint, b bigint")
 
 
 def _verified(docs, classes, pairs, words, per_cent) -> DataFrame:
@@ -338,7 +338,7 @@ def _verified(docs, classes, pairs, words, per_cent) -> DataFrame:
 
     def sets(batches):
         maybe = np.unpackbits(seen.value)
-        for batch in slices(batches):
+        for batch in by_bytes(slices(batches), "text"):
             ids = batch.column("doc_id")
             keep = ids.is_valid().to_numpy(zero_copy_only=False)
             keep &= maybe[_slot(ids.fill_null(0).to_numpy())] > 0
@@ -350,7 +350,7 @@ def _verified(docs, classes, pairs, words, per_cent) -> DataFrame:
                 pa.array([s.tobytes() for s in found], pa.binary())], ["rep", "cls", "members"])
 
     # a row of fixed width for each document that may be wanted; the join is exact
-    sets_of = docs.mapInArrow(sets, "rep bigint, cls binary, members binary").join(
+    sets_of = docs.mapInArrow(lean(sets), "rep bigint, cls binary, members binary").join(
         wanted, ["rep", "cls"]).select("cid", "members").dropDuplicates(["cid"])
     sets_of = saved(sets_of, "sets")
 
@@ -369,7 +369,7 @@ def _verified(docs, classes, pairs, words, per_cent) -> DataFrame:
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     return pairs.join(sets_of.toDF("a", "x"), "a").join(sets_of.toDF("b", "y"), "b").mapInArrow(
-        check, "a bigint, b bigint")
+        lean(check), "a bigint, b bigint")
 
 
 def _slot(ids: np.ndarray) -> np.ndarray:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityviews.llm.bpe import tokenizer
-from cityviews.llm.common import before, buckets_for, by_bytes, saved
+from cityviews.llm.common import before, buckets_for, by_bytes, lean, saved
 
 STEPS = 256       # steps that lengths are grouped into for the patterns
 EACH = 50_000     # pieces that one task ranks at a time
@@ -78,7 +78,7 @@ def _pieces(docs: DataFrame, path: str, length: int, end_id: int) -> DataFrame:
                 else [pa.array([], t) for t in KINDS], PACKED[:5])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string")
-                       ).mapInArrow(cut, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+                       ).mapInArrow(lean(cut), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 KINDS = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cityviews.llm.common import by_bytes, saved
+from cityviews.llm.common import by_bytes, lean, saved
 from cityviews.llm.wordblocks import SPAN, WHITE, mix, text_bytes, word_hashes, word_spans
 
 SAMPLE = 16_384   # labelled rows that the model is fitted on, at most
@@ -62,7 +62,7 @@ def _hashed(column: pa.Array):
 
 
 class Ftrl:
-    """Weights that follow the regularised leader; a document is a set of places."""
+    """Weights that follow the regularised leader; a document is a set of places, and the bias."""
 
     def __init__(self, places: int, alpha=1.0, beta=1.0, l1=8.0, l2=0.0):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
@@ -75,6 +75,7 @@ class Ftrl:
         return np.where(np.abs(z) <= self.l1, 0.0, w)
 
     def learn(self, at: np.ndarray, label: int) -> None:
+        at = np.append(at, PLACES)
         w = self.weights(at)
         g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label
         n = self.n[at]
@@ -92,7 +93,7 @@ def unseen(rows: list, rounds: int) -> tuple[np.ndarray, np.ndarray]:
                 if i % FOLDS != fold:
                     model.learn(x, y)
         for i in range(fold, len(rows), FOLDS):
-            sums[i] = model.weights(rows[i][0]).sum()
+            sums[i] = model.weights(np.append(rows[i][0], PLACES)).sum()
     return sums, labels
 
 
@@ -141,25 +142,26 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int =
             sizes = pc.binary_length(batch.column("places")).to_numpy()
             fits = np.cumsum(sizes) <= room
             if fits.any():
-                seen.append(batch.filter(pa.array(fits)))
+                seen.append(batch if fits.all() else batch.filter(pa.array(fits)))
                 room -= int(sizes[fits].sum())
-        rows = [(np.append(np.frombuffer(x.as_buffer(), dtype=np.int32), PLACES), y) for batch in seen
+        # views into the batches, not copies
+        rows = [(np.frombuffer(x.as_buffer(), dtype=np.int32), y) for batch in seen
                 for y, x in zip(batch.column("label").to_pylist(), batch.column("places"))]
         for _ in range(rounds):
             for x, y in rows:
                 model.learn(x, y)
-        shift = logit(THRESHOLD) - boundary(*unseen(rows, rounds)) if rows else 0.0
         at = np.union1d(np.flatnonzero(np.abs(model.z) > model.l1), [PLACES])
         w = model.weights(at)
-        w[-1] += shift
+        del model
+        w[-1] += logit(THRESHOLD) - boundary(*unseen(rows, rounds)) if rows else 0.0
         yield pa.RecordBatch.from_pydict({
             "places": pa.array([at.astype(np.int32).tobytes()], pa.binary()),
             "weights": pa.array([w.astype(np.float32).tobytes()], pa.binary())})
 
     examples = saved(
-        rows.mapInArrow(featured, "doc_id bigint, label int, places binary"), "examples")
-    found = examples.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "places").mapInArrow(
-        learnt, "places binary, weights binary").first()
+        rows.mapInArrow(lean(featured), "doc_id bigint, label int, places binary"), "examples")
+    found = saved(examples.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "places").mapInArrow(
+        lean(learnt), "places binary, weights binary"), "model").first()
     return (found.places, found.weights) if found else (b"", b"")  # no labels, no weights
 
 
@@ -185,7 +187,7 @@ def score(docs: DataFrame, model: tuple, *keep: Column) -> DataFrame:
                 [*(batch.column(f.name) for f in schema.fields[:-1]), pa.array(result)],
                 [f.name for f in schema.fields])
 
-    return rows.mapInArrow(scored, schema)
+    return rows.mapInArrow(lean(scored), schema)
 
 
 def held_out() -> Column:
