@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 # Fixed value: files are named <feed>_<yyyy-MM-dd>_<HH-mm-ss-SSS>.parquet
 FILE_STAMP = r"_(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}-\d{3})\.[^/]*$"
 FILE_STAMP_PARTS = r"^.*_(\d{4}-\d{2}-\d{2})_(\d{2})-(\d{2})-(\d{2})-(\d{3})\.[^/]*$"
+# Folders of a feed laid out by time
+FOLDER_PARTS = r"^.*/day=(\d{4}-\d{2}-\d{2})/hour=(\d{1,2})/[^/]*$"
 # Fixed value: an hour stamp is yyyy-MM-dd_HH
 HOUR_STAMP = "%Y-%m-%d_%H"
 
@@ -26,6 +28,12 @@ def file_stamp(path: Column) -> Column:
     return text.try_cast("timestamp_ntz")
 
 
+def folder_stamp(path: Column) -> Column:
+    """Hour of the folders ``day=../hour=..`` that ``path`` lies in; null if there are none."""
+    text = F.regexp_replace(path, FOLDER_PARTS, "$1 $2:00:00")
+    return text.try_cast("timestamp_ntz")
+
+
 def day_stamp(ts: Column) -> Column:
     """``yyyy-MM-dd`` of a time."""
     return F.substring(ts.cast("timestamp_ntz").cast("string"), 1, 10)

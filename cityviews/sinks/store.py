@@ -2,22 +2,29 @@
 
 Layout of a view folder::
 
-    heads/                                   what is valid: era, upto, period; what is stored
-    log/era=E/batch=B/source=S/[period=P/]   the rows of one batch
-    base/era=E/upto=B/[period=P/]            merged rows of all batches up to B
+    heads/                                     what is valid: era, upto, period; what is stored
+    log/era=E/batch=B/source=S/[period=P/]     the rows of one batch
+    base/era=E/upto=B/[period=P/]              merged rows of all batches up to B
+    ledger/era=E/batch=B/source=S/             names of the files that a batch counted
 
-A batch is written whole into its own folder, so writing it again (a replay) replaces it
-and changes nothing else. A compaction or reset becomes visible only when its one file
-lands in ``heads``; readers never see half of one. One writer per view at a time.
+A batch counts once it is whole: readers, numbering and compaction take only folders with the mark
+that Spark leaves when a write job commits. A batch is written into its own folder,
+so writing it again (a replay) replaces it and changes nothing else. A compaction or reset becomes visible
+only when its one file lands in ``heads``; readers never see half of one. One writer per view at a time.
 
 The state is the newest base plus the batches after it, merged per key. Views whose keys
 start with a day are partitioned by its year, month or day, whichever gives files of a
 fair size, and sorted by key, so reading a range of days opens only what it needs. A
-compaction rewrites only periods with new rows; the base of the others stays valid.
+compaction rewrites only periods with new rows; the base of the others stays valid. It also removes
+what the compaction before it replaced, so that readers which began in between still find theirs.
+
+Views whose rows add up keep a ledger of file names: a file that some batch has counted is not
+counted again, whichever way it comes.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -80,6 +87,50 @@ def _base(path: str, era: int) -> str:
     return f"{path}/base/era={era}"
 
 
+def _ledger(path: str, era: int) -> str:
+    return f"{path}/ledger/era={era}"
+
+
+#: What Spark's file committers leave in a folder once all of it is written.
+DONE = "_SUCCESS"
+
+
+@dataclass(frozen=True)
+class Landed:
+    """A batch folder that is whole."""
+
+    batch: int
+    source: str
+    folder: str
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """Spark's own file system for ``path``, and the path."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    system, place = _hadoop(spark, pattern)
+    return [x.getPath().toString() for x in system.globStatus(place) or []]
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    system, place = _hadoop(spark, folder)
+    system.delete(place, True)
+
+
+def _whole(spark: SparkSession, root: str) -> list[Landed]:
+    """Batch folders below ``root`` whose write has committed: a name per batch since the last compactions."""
+    found = []
+    for mark in _glob(spark, f"{root}/batch=*/source=*/{DONE}"):
+        folder = mark[:-len(DONE) - 1]
+        batch, source = re.search(r"/batch=(-?\d+)/source=([^/]+)$", folder).groups()
+        found.append(Landed(int(batch), source, folder))
+    return found
+
+
 def _empty(spark: SparkSession, spec: ViewSpec) -> DataFrame:
     return spark.createDataFrame([], spec.stored)
 
@@ -129,34 +180,36 @@ def view_head(spark: SparkSession, path: str, spec: ViewSpec | None = None) -> H
     return Head(row["head"]["era"], row["head"]["upto"])
 
 
-def _log_files(spark: SparkSession, spec: ViewSpec, path: str, head: Head) -> DataFrame:
-    """All batches of the era, compacted or not, with ``source``."""
-    stored = StructType([*spec.stored.fields, StructField("source", StringType())])
-    log = _log(path, head.era)
-    return spark.read.schema(stored).option("basePath", log).parquet(log)
-
-
 def _log_rows(
     spark: SparkSession, spec: ViewSpec, path: str, head: Head, last: int | None = None
 ) -> DataFrame:
-    """Rows of the batches that no base holds yet, up to batch ``last``."""
-    log = _log_files(spark, spec, path, head).where(F.col("batch") > head.upto)
-    if last is not None:
-        log = log.where(F.col("batch") <= last)
-    return log.select(*spec.stored.fieldNames())
+    """Rows of the whole batches that no base holds yet, up to batch ``last``."""
+    log = _log(path, head.era)
+    folders = [x.folder for x in _whole(spark, log)
+               if x.batch > head.upto and (last is None or x.batch <= last)]
+    if not folders:
+        return _empty(spark, spec)
+    rows = spark.read.schema(spec.stored).option("basePath", log).parquet(*sorted(folders))
+    return rows.select(*spec.stored.fieldNames())
+
+
+def _last_batch(spark: SparkSession, path: str, head: Head) -> int | None:
+    """The greatest number of a whole batch that no base holds."""
+    fresh = [x.batch for x in _whole(spark, _log(path, head.era)) if x.batch > head.upto]
+    return max(fresh, default=None)
 
 
 def next_batch(spark: SparkSession, spec: ViewSpec, path: str) -> int:
     """The number after all batches so far."""
     head = view_head(spark, path, spec)
-    last = _log_rows(spark, spec, path, head).agg(F.max("batch")).first()[0]
+    last = _last_batch(spark, path, head)
     return (head.upto if last is None else last) + 1
 
 
 def source_batch(spark: SparkSession, spec: ViewSpec, path: str, source: str) -> int | None:
-    """Number of the batch that ``source`` wrote; None if it wrote none."""
-    log = _log_files(spark, spec, path, view_head(spark, path, spec))
-    return log.where(F.col("source") == source).agg(F.max("batch")).first()[0]
+    """Number of the whole batch that ``source`` wrote; None if it wrote none."""
+    head = view_head(spark, path, spec)
+    return max((x.batch for x in _whole(spark, _log(path, head.era)) if x.source == source), default=None)
 
 
 def upsert_view(
@@ -185,22 +238,42 @@ def upsert_view(
     _writer(rows, spec).parquet(f"{_log(path, head.era)}/batch={batch}/source={source}")
 
 
-def upsert_once(df: DataFrame, spec: ViewSpec, path: str, source: str) -> None:
+def upsert_once(
+    df: DataFrame, spec: ViewSpec, path: str, source: str, files: DataFrame | None = None
+) -> None:
     """Write the rows of ``df``, which ``source`` names, so that they count once.
 
     The name is stored with the rows. If it is there already, from a run that failed after
-    or while writing, its batch is replaced; if that batch is compacted, nothing is left
-    to do.
+    writing, its batch is replaced; if that batch is compacted, nothing is left
+    to do. ``files(file)`` are the files that the rows come from, for the ledger. It is written first and
+    counts only if the batch does.
     """
     spark = df.sparkSession
     batch = source_batch(spark, spec, path, source)
+    head = view_head(spark, path, spec)
     if batch is None:
         batch = next_batch(spark, spec, path)
-    elif batch <= view_head(spark, path, spec).upto:
+    elif batch <= head.upto:
         return
+    if files is not None:
+        files.select("file").distinct().write.mode("overwrite").parquet(
+            f"{_ledger(path, head.era)}/batch={batch}/source={source}")
     upsert_view(df, spec, path, batch, source)
 
 
+def uncounted(files: DataFrame, spec: ViewSpec, path: str, source: str | None = None) -> DataFrame:
+    """Those of ``files(file, ..)`` that no whole batch has counted, but for one of ``source``."""
+    spark = files.sparkSession
+    head = view_head(spark, path, spec)
+    log = {(x.batch, x.source) for x in _whole(spark, _log(path, head.era))}
+    folders = [x.folder for x in _whole(spark, _ledger(path, head.era))
+               if x.source != source and (x.batch <= head.upto or (x.batch, x.source) in log)]
+    if not folders:
+        return files
+    known = spark.read.schema("file string").parquet(*sorted(folders))
+    return files.join(known.distinct(), "file", "left_anti")
+
+
 def _base_rows(
     spark: SparkSession, spec: ViewSpec, path: str, head: Head
 ) -> DataFrame | None:
@@ -272,17 +345,16 @@ def open_view(spark: SparkSession, spec: ViewSpec, path: str) -> DataFrame:
 def compact_view(
     spark: SparkSession, spec: ViewSpec, path: str, upto: int | None = None
 ) -> None:
-    """Merge the batches up to number ``upto`` (the last one) into a new base.
+    """Merge the whole batches up to number ``upto`` (the last one) into a new base.
 
-    Not for a view whose stream has failed and not yet run again: a batch that will be
-    replayed must stay in the log. Folders of merged batches hold no rows that are read
-    any more and can be removed with the file system's own tools, but for those of a
-    stream's last run.
+    A batch that is half written then, as its job failed, is left out and comes back under a new
+    number when it is replayed. What the compaction before this one replaced is removed, but for the
+    last batch of each stream, by which a replay of it is known.
     """
     head = view_head(spark, path, spec)
-    if upto is None:
-        upto = _log_rows(spark, spec, path, head).agg(F.max("batch")).first()[0]
-    if upto is None or upto <= head.upto:
+    last = _last_batch(spark, path, head)
+    upto = last if upto is None else upto
+    if last is None or upto is None or upto <= head.upto:
         return
     rows = fresh = _log_rows(spark, spec, path, head, upto)
     touched = None if spec.period is None else fresh.select("period").distinct()
@@ -293,7 +365,57 @@ def compact_view(
         rows = rows.unionByName(base)
     merged = _merged(rows, spec).select(*spec.schema.fieldNames(), "batch")
     _writer(merged, spec).parquet(f"{_base(path, head.era)}/upto={upto}")
+    _merge_ledger(spark, path, head, upto)
     _publish(spark, spec, path, Head(head.era, upto), "append", touched)
+    _retire(spark, spec, path, head)
+
+
+def _merge_ledger(spark: SparkSession, path: str, head: Head, upto: int) -> None:
+    """One ledger folder for all whole batches up to ``upto``; those of half-written ones go."""
+    ledger = _ledger(path, head.era)
+    log = {(x.batch, x.source) for x in _whole(spark, _log(path, head.era))}
+    old = [x for x in _whole(spark, ledger) if x.batch <= upto]
+    valid = [x.folder for x in old if x.batch <= head.upto or (x.batch, x.source) in log]
+    if valid:
+        spark.read.schema("file string").parquet(*sorted(valid)).distinct().write.mode("overwrite").parquet(
+            f"{ledger}/batch={upto}/source=merged")
+    for x in old:
+        if (x.batch, x.source) != (upto, "merged"):
+            _remove(spark, x.folder)
+
+
+def _retire(spark: SparkSession, spec: ViewSpec, path: str, before: Head) -> None:
+    """Remove batches and bases that were not read any more when the head was ``before``."""
+    if before.upto < 0:
+        return
+    log = _log(path, before.era)
+    newest: dict[str, int] = {}
+    for x in _whole(spark, log):
+        stream = x.source.rpartition("-")[0] or x.source
+        newest[stream] = max(newest.get(stream, -1), x.batch)
+    for folder in _glob(spark, f"{log}/batch=*/source=*"):
+        batch, source = re.search(r"/batch=(-?\d+)/source=([^/]+)$", folder).groups()
+        if int(batch) <= before.upto and int(batch) != newest.get(source.rpartition("-")[0] or source):
+            _remove(spark, folder)
+    for folder in _glob(spark, f"{log}/batch=*"):
+        system, place = _hadoop(spark, folder)
+        if int(folder.rpartition("=")[2]) <= before.upto and not system.listStatus(place):
+            _remove(spark, folder)
+    root = _base(path, before.era)
+    if spec.period is None:
+        stale = [x for x in _glob(spark, f"{root}/upto=*") if int(x.rpartition("=")[2]) < before.upto]
+    else:
+        # a row per period
+        valid = {r["period"]: r["upto"] for r in _heads(spark, path).where(
+            (F.col("era") == before.era) & F.col("period").isNotNull() & (F.col("upto") <= before.upto)
+        ).groupBy("period").agg(F.max("upto").alias("upto")).collect()}
+        stale = []
+        for folder in _glob(spark, f"{root}/upto=*/period=*"):
+            upto, period = re.search(r"/upto=(-?\d+)/period=([^/]+)$", folder).groups()
+            if int(upto) < valid.get(period, -1):
+                stale.append(folder)
+    for folder in stale:
+        _remove(spark, folder)
 
 
 def reset_view(spark: SparkSession, spec: ViewSpec, path: str) -> None:
