@@ -7,10 +7,14 @@
     show     VIEW PATH                     print the first rows of the state
     compact  VIEW PATH                     merge the batches of a view
     reset    VIEW PATH                     empty a view
-
-VIEW is a name of ``cityviews.plans.registry.VIEWS``; hours read ``yyyy-MM-dd_HH``.
-With ``--cells`` refresh, show, compact and reset take the view kept as text cells.
-``refresh --latest`` takes a folder for FILE and uses its newest file.
+    slots    FOLDER FIRST LAST             hourly weather whose slot isn't the hour of its file
+
+VIEW is a name of ``cityviews.plans.registry.VIEWS``; hours read ``yyyy-MM-dd_HH``. A feed is a folder
+of stamped files, or of folders ``day=yyyy-MM-dd/hour=HH``; its files may differ in types and fields.
+With ``--cells`` a command takes the view kept as text cells. ``--rule ingest`` lets what is written
+last win, not the newest file; give it to all commands of a view. ``refresh --latest`` takes a
+folder for FILE and uses its newest file; ``backfill --stale`` skips hours without a newer file.
+``show status_hourly_parts`` prints the means behind the sums.
 """
 
 from __future__ import annotations
@@ -21,15 +25,18 @@ from pyspark.sql import SparkSession
 
 from cityviews.plans.refresh import (
     backfill,
-    feed_schema,
+    check_feed,
+    feed_rows,
     file_coverage,
+    files_of,
     refresh_cells_from_file,
     refresh_from_file,
 )
-from cityviews.plans.registry import VIEWS, cells_spec
+from cityviews.plans.registry import VIEWS, stored_spec
+from cityviews.plans.views import off_slot, status_hourly_from_parts
 from cityviews.sinks.store import compact_view, read_view, reset_view
-from cityviews.sources.files import latest_file, read_payloads, stream_payloads
-from cityviews.streaming.refresh import refresh_stream
+from cityviews.sources.files import latest_file, stream_files
+from cityviews.streaming.refresh import follow_files
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -44,45 +51,48 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
             sub.add_argument(argument, choices=list(VIEWS) if argument == "view" else None)
         return sub
 
-    refresh = command("refresh", "view", "file", "path")
-    refresh.add_argument("--cells", action="store_true")
+    def kept(sub: argparse.ArgumentParser) -> argparse.ArgumentParser:
+        sub.add_argument("--cells", action="store_true")
+        sub.add_argument("--rule", choices=["version", "ingest"])
+        return sub
+
+    refresh = kept(command("refresh", "view", "file", "path"))
     refresh.add_argument("--batch", type=int)
     refresh.add_argument("--latest", action="store_true")
-    command("backfill", "view", "folder", "path", "first", "last").add_argument(
-        "--batch", type=int)
-    follow = command("follow", "view", "folder", "path", "checkpoint")
+    again = kept(command("backfill", "view", "folder", "path", "first", "last"))
+    again.add_argument("--batch", type=int)
+    again.add_argument("--stale", action="store_true")
+    follow = kept(command("follow", "view", "folder", "path", "checkpoint"))
     follow.add_argument("--files-per-batch", type=int)
     follow.add_argument("--compact-every", type=int)
     command("gaps", "folder", "first", "last")
-    show = command("show", "view", "path")
-    show.add_argument("--cells", action="store_true")
+    command("slots", "folder", "first", "last")
+    show = kept(command("show", "view", "path"))
     show.add_argument("--rows", type=int, default=20)
-    compact = command("compact", "view", "path")
+    compact = kept(command("compact", "view", "path"))
     compact.add_argument("--upto", type=int)
-    compact.add_argument("--cells", action="store_true")
-    command("reset", "view", "path").add_argument("--cells", action="store_true")
+    kept(command("reset", "view", "path"))
     return parser.parse_args(argv)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    view = VIEWS[args.view] if "view" in args else None
-    spec = cells_spec(args.view) if getattr(args, "cells", False) else view and view.spec
+    spec = stored_spec(args.view, args.cells, args.rule) if "view" in args else None
     if args.command == "refresh":
-        job = refresh_cells_from_file if args.cells else refresh_from_file
         file = latest_file(spark, args.file) if args.latest else args.file
         if file is None:
             raise ValueError(f"no stamped file in {args.file}")
-        job(spark, args.view, file, args.path, args.batch)
+        if args.cells:
+            refresh_cells_from_file(spark, args.view, file, args.path, args.batch, args.rule or "version")
+        else:
+            refresh_from_file(spark, args.view, file, args.path, args.batch)
     elif args.command == "backfill":
-        backfill(spark, args.view, args.folder, args.path, args.first, args.last, args.batch)
+        backfill(spark, args.view, args.folder, args.path, args.first, args.last, args.batch,
+                 args.cells, args.rule, args.stale)
     elif args.command == "follow":
-        schema = feed_schema(spark, view, args.folder)
-        payloads = stream_payloads(spark, args.folder, schema, args.files_per_batch)
-        refresh_stream(
-            payloads, view, args.path, args.checkpoint, args.compact_every,
-            lambda session, first, last: read_payloads(
-                session, args.folder, schema, first=first, last=last),
-        ).awaitTermination()
+        check_feed(VIEWS[args.view], files_of(spark, args.folder))
+        follow_files(
+            stream_files(spark, args.folder, args.files_per_batch), args.view, args.folder, args.path,
+            args.checkpoint, args.compact_every, args.cells, args.rule).awaitTermination()
     elif args.command == "gaps":
         counts = file_coverage(spark, args.folder, args.first, args.last)
         n = 0
@@ -90,8 +100,18 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             n += 1
             print(row["stamp"])
         print(f"{n} hours without files")
+    elif args.command == "slots":
+        found = feed_rows(VIEWS["weather_hourly"], files_of(spark, args.folder, args.first, args.last))
+        n = 0
+        for row in off_slot(found).orderBy("version").toLocalIterator():
+            n += 1
+            print(row["version"], row["time"])
+        print(f"{n} hours off their slot")
     elif args.command == "show":
-        read_view(spark, spec, args.path).show(args.rows, truncate=False)
+        rows = read_view(spark, spec, args.path)
+        if args.view == "status_hourly_parts" and not args.cells:
+            rows = status_hourly_from_parts(rows)
+        rows.show(args.rows, truncate=False)
     elif args.command == "compact":
         compact_view(spark, spec, args.path, args.upto)
     elif args.command == "reset":

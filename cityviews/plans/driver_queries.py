@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from cityviews import schemas as S
 from cityviews.functions import stamps
 from cityviews.functions.text import py_text
-from cityviews.operators import aggregate, cells, shape
+from cityviews.operators import cells, shape
 from cityviews.plans import refresh, views
 from cityviews.plans import table_feeds as feeds
 from cityviews.plans.registry import VIEWS, cells_spec
@@ -23,8 +25,9 @@ from cityviews.sinks.store import (
     upsert_view,
 )
 from cityviews.sinks.workdir import work_folder
-from cityviews.sources.files import newest
-from cityviews.streaming.refresh import refresh_stream
+from cityviews.sources.drift import read_files
+from cityviews.sources.files import latest_file, list_files, read_payloads, stream_files
+from cityviews.streaming.refresh import follow_files, refresh_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +36,12 @@ HOUR = "2024-01-05_17"
 FIRST, LAST = "2024-01-05_17", "2024-01-08_05"
 TRIGGER = "2024-01-06_00"
 
+#: The status feed with the id of the event behind each payload, and as files that store doubles.
+KEYED_FEED = StructType([StructField("event_id", LongType()), *S.STATUS_FEED.fields])
+DOUBLE_FEED = StructType([StructField("data", StructType([StructField("stations", ArrayType(StructType([
+    StructField(f.name, DoubleType() if f.name in S.STATUS_METRICS else f.dataType)
+    for f in S.STATUS_FEED["data"].dataType["stations"].dataType.elementType.fields])))]))])
+
 
 def query(sql: str):
     def bind(fn):
@@ -120,13 +129,12 @@ def q_explode_entities(spark, sf_dir):
 SELECT event_id, legacy_id, station_id, num_bikes_available FROM readings
 WHERE stamp = (SELECT max(strftime(ts, '%Y-%m-%d_%H')) FROM events)""")
 def q_latest_snapshot(spark, sf_dir):
-    paths = feeds.events(spark, sf_dir).select(
-        feeds.hour_path(F.col("stamp_ts")).alias("path"))
-    latest = newest(paths.select("path", stamps.file_stamp(F.col("path")).alias("stamp_ts")))
-    # The hour of the newest file, as a range that the scan can use.
-    start, ts = latest.select("stamp_ts").scalar(), F.col("stamp_ts")
-    payloads = _status(spark, sf_dir).where(
-        (ts >= start) & (ts < start + F.expr("INTERVAL 1 HOUR")))
+    """The feed as files by day and hour; the newest file tells the hour, its folder is read."""
+    folder = work_folder(spark, "latest_snapshot")
+    feeds.write_feed(_status(spark, sf_dir), folder)
+    found = re.match(stamps.FOLDER_PARTS, latest_file(spark, folder) or "")
+    hour = "_".join(found.groups()) if found else "1970-01-01_00"
+    payloads = read_payloads(spark, folder, KEYED_FEED, hour=hour)
     return shape.explode_entities(
         payloads, "data.stations", ["legacy_id", "station_id", "num_bikes_available"],
         keep=["event_id"])
@@ -136,14 +144,15 @@ def q_latest_snapshot(spark, sf_dir):
 SELECT event_id, station_id, CAST(num_bikes_available AS DOUBLE) AS num_bikes_available
 FROM readings WHERE stamp = '{HOUR}'""")
 def q_hour_snapshot_union(spark, sf_dir):
-    payloads = _status(spark, sf_dir).where(stamps.in_hours(F.col("stamp_ts"), HOUR))
-    rows = shape.explode_entities(
-        payloads, "data.stations", ["station_id", "num_bikes_available"], keep=["event_id"])
-    # Two groups of files that store the metric with different types.
-    whole = rows.where("event_id % 2 = 0")
-    drifted = rows.where("event_id % 2 = 1").withColumn(
-        "num_bikes_available", F.col("num_bikes_available").cast("double"))
-    return aggregate.stack([whole, drifted])
+    """Files that store the metric as whole numbers and files that store doubles, in one folder."""
+    folder, payloads = work_folder(spark, "hour_snapshot"), _status(spark, sf_dir)
+    feeds.write_feed(payloads.where("event_id % 2 = 0"), folder)
+    feeds.write_feed(payloads.where("event_id % 2 <> 0").withColumn(
+        "data", F.col("data").cast(DOUBLE_FEED["data"].dataType)), folder)
+    # KEYED_FEED says whole numbers; the files decide
+    whole = read_files(list_files(spark, folder, HOUR, HOUR), KEYED_FEED, open_fields=True)
+    return shape.explode_entities(
+        whole, "data.stations", ["station_id", "num_bikes_available"], keep=["event_id"])
 
 
 @query("""SELECT event_id, strftime(ts, '%Y-%m-%d') AS day,
@@ -329,6 +338,56 @@ def q_backfill_weather(spark, sf_dir):
     return views.weather_hourly(payloads).drop("version")
 
 
+@query(weather_hourly_sql(
+    "strftime(ts, '%Y-%m-%d_%H') BETWEEN '" + FIRST + "' AND '" + LAST + "'").replace("ORDER BY ts DESC, ", "ORDER BY "))
+def q_backfill_files(spark, sf_dir):
+    """A feed by day and hour whose files store doubles, or floats beside a field of their own."""
+    folder, payloads = work_folder(spark, "backfill_files"), _hourly_feed(spark, sf_dir)
+    floats = payloads.schema["hourly"].dataType.simpleString().replace("double", "float")
+    feeds.write_feed(payloads.where("vec_id % 2 = 0").drop("vec_id"), folder)
+    feeds.write_feed(payloads.where("vec_id % 2 <> 0").withColumn(
+        "hourly", F.col("hourly").cast(floats)), folder)
+    files = refresh.files_of(spark, folder, FIRST, LAST)
+    return refresh.feed_rows(VIEWS["weather_hourly"], files).drop("version")
+
+
+@query("""
+WITH e AS (
+  SELECT event_id, value, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d_%H') AS h FROM events
+), a AS (
+  SELECT day, h, event_id AS t, value AS r FROM e WHERE event_id % 3 = 0
+  QUALIFY row_number() OVER (PARTITION BY day ORDER BY h DESC, event_id DESC) = 1
+), b AS (
+  SELECT day, h, CASE WHEN event_id % 5 <> 0 THEN value END AS t, value + 1 AS w FROM e WHERE event_id % 3 <> 0
+  QUALIFY row_number() OVER (PARTITION BY day ORDER BY h DESC,
+    CASE WHEN event_id % 5 <> 0 THEN value END DESC NULLS LAST, value DESC) = 1
+), c AS (
+  SELECT day AS row_key, h, v.col, v.val FROM a, LATERAL (VALUES ('time:time', day),
+    ('temperature:temperature_2m_max', CAST(t AS VARCHAR)), ('precipitation:rain_sum', CAST(r AS VARCHAR))) AS v(col, val)
+  UNION ALL
+  SELECT day, h, v.col, v.val FROM b, LATERAL (VALUES ('time:time', day),
+    ('temperature:temperature_2m_max', coalesce(CAST(t AS VARCHAR), 'None')),
+    ('wind:windspeed_10m_max', CAST(w AS VARCHAR))) AS v(col, val)
+)
+SELECT row_key, col, val FROM c
+QUALIFY row_number() OVER (PARTITION BY row_key, col ORDER BY h DESC, val DESC) = 1""")
+def q_backfill_cells(spark, sf_dir):
+    """Text cells of files with different fields and number types: absent is no cell, null is None."""
+    folder, path = work_folder(spark, "backfill_cells"), work_folder(spark, "backfill_cells_view")
+    events = feeds.events(spark, sf_dir)
+
+    def files(part, **metrics):
+        day = F.array(stamps.day_stamp(F.col("stamp_ts"))).alias("time")
+        slots = [F.array(F.expr(x)).alias(c) for c, x in metrics.items()]
+        feeds.write_feed(part.select("stamp_ts", F.struct(day, *slots).alias("daily")), folder)
+
+    files(events.where("event_id % 3 = 0"), temperature_2m_max="event_id", rain_sum="value")
+    files(events.where("event_id % 3 <> 0"),
+          temperature_2m_max="if(event_id % 5 <> 0, value, null)", windspeed_10m_max="value + 1")
+    refresh.backfill(spark, "weather_daily", folder, path, "0001-01-01_00", "9999-12-30_23", cells=True)
+    return read_view(spark, cells_spec("weather_daily"), path).drop("version")
+
+
 INFORMATION = """
 i AS (
   SELECT strftime(o_orderdate, '%Y-%m-%d') || '_' || o_custkey AS row_key,
@@ -484,6 +543,22 @@ def q_status_hourly_batches(spark, sf_dir):
     return read_view(spark, view.spec, f"{path}/view").drop("version")
 
 
+@query(hourly_sql())
+def q_status_parts_mixed(spark, sf_dir):
+    """Sums kept by a stream of files, then by a backfill of all hours: each file counts once."""
+    folder, path = work_folder(spark, "parts_feed"), work_folder(spark, "parts_mixed")
+    payloads = _status(spark, sf_dir)
+    feeds.write_feed(payloads.where("event_id % 2 = 0"), folder)
+    follow_files(
+        stream_files(spark, folder), "status_hourly_parts", folder, f"{path}/view", f"{path}/checkpoint",
+    ).awaitTermination()
+    feeds.write_feed(payloads.where("event_id % 2 <> 0"), folder)
+    refresh.backfill(
+        spark, "status_hourly_parts", folder, f"{path}/view", "0001-01-01_00", "9999-12-30_23")
+    parts = read_view(spark, VIEWS["status_hourly_parts"].spec, f"{path}/view")
+    return views.status_hourly_from_parts(parts).drop("version")
+
+
 @query(hourly_sql())
 def q_status_hourly_stream(spark, sf_dir):
     return views.status_hourly_from_parts(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
@@ -53,3 +53,13 @@ def cells_spec(name: str, rule: str = "version") -> ViewSpec:
     return ViewSpec(
         f"{name}_cells", S.CELLS, keys=("row_key", "col"),
         period=VIEWS[name].spec.period, rule=rule)
+
+
+def stored_spec(name: str, cells: bool = False, rule: str | None = None) -> ViewSpec:
+    """Stored form of a view, typed or as cells, under its own rule or another."""
+    spec = cells_spec(name) if cells else VIEWS[name].spec
+    if rule is None or rule == spec.rule:
+        return spec
+    if "add" in (rule, spec.rule):
+        raise ValueError(f"{spec.name} is kept by rule {spec.rule} only")
+    return replace(spec, rule=rule)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityviews import schemas as S
-from cityviews.functions.stamps import day_stamp, hour_stamp
+from cityviews.functions.stamps import day_stamp, hour_index, hour_stamp
 
 FEEDS = "/feeds/station_status/station_status_"
 FORECAST_HOURS = 240
@@ -93,6 +93,19 @@ def hour_path(ts: Column) -> Column:
     return F.concat(F.lit(FEEDS), hour_stamp(ts), F.lit("-00-00-000.parquet"))
 
 
+def write_feed(payloads: DataFrame, folder: str) -> None:
+    """Add payload rows to a feed laid out by day and hour, as the files of their hours.
+
+    Tasks take ranges of hours, so few write to one hour; one that holds many rows is split.
+    """
+    spark = payloads.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    day, hour = day_stamp(F.col("stamp_ts")), F.lpad(hour_index(F.col("stamp_ts")).cast("string"), 2, "0")
+    rows = payloads.withColumns({"day": day, "hour": hour}).drop("stamp_ts")
+    (rows.repartitionByRange(tasks, "day", "hour", F.xxhash64(*payloads.drop("stamp_ts").columns))
+     .write.mode("append").partitionBy("day", "hour").parquet(folder))
+
+
 def daily_feed(numbered_events: DataFrame) -> DataFrame:
     """Daily weather: each event is a forecast of seven days from its day on."""
     day = F.col("stamp_ts").cast("date")

@@ -40,6 +40,7 @@ def _forecast_rows(
     families: Mapping[str, str],
     index: Column,
     strict: bool,
+    as_read: bool,
 ) -> DataFrame:
     wide = expand_struct(payloads, struct, keep=[STAMP])
     fields = [c for c in wide.columns if c != STAMP]
@@ -55,7 +56,7 @@ def _forecast_rows(
     if strict:
         key = F.coalesce(key, F.raise_error(F.lit(f"{struct}.time is null")))
     metrics = [
-        F.col(c).cast("double").alias(c) if c in picked.columns
+        (F.col(c) if as_read else F.col(c).cast("double")).alias(c) if c in picked.columns
         else F.lit(None).cast("double").alias(c)
         for c in families if c != "time"
     ]
@@ -64,17 +65,17 @@ def _forecast_rows(
     return rows if strict else rows.where("row_key IS NOT NULL")
 
 
-def weather_daily(payloads: DataFrame, strict: bool = True) -> DataFrame:
-    """First day of each forecast, newest file per day."""
+def weather_daily(payloads: DataFrame, strict: bool = True, as_read: bool = False) -> DataFrame:
+    """First day of each forecast, newest file per day; ``as_read`` keeps whole numbers whole."""
     rows = _forecast_rows(
-        payloads, "daily", S.WEATHER_DAILY_FAMILIES, F.lit(0), strict)
+        payloads, "daily", S.WEATHER_DAILY_FAMILIES, F.lit(0), strict, as_read)
     return latest_rows(rows, ["row_key"], ["version"])
 
 
-def weather_hourly(payloads: DataFrame, strict: bool = True) -> DataFrame:
-    """Slot of the file's hour in each forecast, newest file per hour."""
+def weather_hourly(payloads: DataFrame, strict: bool = True, as_read: bool = False) -> DataFrame:
+    """Slot of the file's hour in each forecast, newest file per hour; ``as_read`` as above."""
     rows = _forecast_rows(
-        payloads, "hourly", S.WEATHER_HOURLY_FAMILIES, hour_index(F.col(STAMP)), strict)
+        payloads, "hourly", S.WEATHER_HOURLY_FAMILIES, hour_index(F.col(STAMP)), strict, as_read)
     return latest_rows(rows, ["row_key"], ["version"])
 
 

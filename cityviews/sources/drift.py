@@ -22,14 +22,16 @@ from pyspark.sql.types import (
     IntegralType,
     LongType,
     NullType,
+    StringType,
     StructField,
     StructType,
+    TimestampNTZType,
 )
 
 from cityviews.operators.aggregate import stack
-from cityviews.sources.files import DAY, _stamped
+from cityviews.sources.files import DAY, HOUR, stamped
 
-STAMP = StructField("stamp_ts", StructType.fromDDL("t timestamp_ntz")["t"].dataType)
+STAMP = StructField("stamp_ts", TimestampNTZType())
 
 
 @dataclass(frozen=True)
@@ -110,6 +112,18 @@ def widest(kinds: list[DataType]) -> DataType:
     raise ValueError(f"no type holds all of {', '.join(sorted({k.simpleString() for k in kinds}))}")
 
 
+def widened(want: DataType, have: DataType) -> DataType:
+    """``want``, with numbers as wide as those of ``have``; other types are as wanted."""
+    if isinstance(want, StructType) and isinstance(have, StructType):
+        return StructType([
+            StructField(f.name, widened(f.dataType, have[f.name].dataType) if f.name in have.names else f.dataType)
+            for f in want.fields])
+    if isinstance(want, ArrayType) and isinstance(have, ArrayType):
+        return ArrayType(widened(want.elementType, have.elementType))
+    numbers = (IntegralType, FractionalType)
+    return widest([want, have]) if isinstance(want, numbers) and isinstance(have, numbers) else want
+
+
 def conformed(value: Column, have: DataType, want: DataType) -> Column:
     """``value`` as ``want``, its struct fields matched by name."""
     if have == want:
@@ -129,16 +143,16 @@ def read_group(spark: SparkSession, group: Group) -> DataFrame:
     reader, first = spark.read.schema(group.schema), group.paths[0]
     if f"/{DAY}=" in first:
         base = first[:first.index(f"/{DAY}=")]
-        kind = StructType([*group.schema.fields, *StructType.fromDDL("day string, hour string").fields])
+        kind = StructType([*group.schema.fields, StructField(DAY, StringType()), StructField(HOUR, StringType())])
         reader = spark.read.schema(kind).option("basePath", base)
-    return _stamped(reader.parquet(*group.paths))
+    return stamped(reader.parquet(*group.paths))
 
 
 def read_files(files: DataFrame, want: StructType, open_fields: bool = False) -> DataFrame:
     """Payload rows of ``files(path)``, whatever number types they store, with ``stamp_ts``.
 
-    The result has the types of ``want``; with ``open_fields``, all inner fields that any file has,
-    in the widest of their types.
+    The result has the types of ``want``, with numbers as wide as any file has them; with
+    ``open_fields``, all inner fields that any file has.
     """
     spark = files.sparkSession
     groups = schema_groups(files, want, whole=open_fields)
@@ -147,6 +161,8 @@ def read_files(files: DataFrame, want: StructType, open_fields: bool = False) ->
             StructField(f.name, widest([g.schema[f.name].dataType for g in groups if f.name in g.schema.names]))
             for f in want.fields if any(f.name in g.schema.names for g in groups)])
     want = nullable(want)
+    for g in groups:
+        want = widened(want, g.schema)
     frames = [
         read_group(spark, g).select(
             *[conformed(F.col(f.name), g.schema[f.name].dataType, f.dataType).alias(f.name)

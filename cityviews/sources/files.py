@@ -68,7 +68,8 @@ def latest_file(spark: SparkSession, folder: str) -> str | None:
     return row["path"] if row else None
 
 
-def _stamped(df: DataFrame) -> DataFrame:
+def stamped(df: DataFrame) -> DataFrame:
+    """A scan with ``stamp_ts``, and without the columns of its folders."""
     meta = F.col("_metadata")
     if not {DAY, HOUR} <= set(df.columns):
         return df.select("*", file_stamp(meta["file_name"]).alias("stamp_ts"))
@@ -110,7 +111,7 @@ def read_payloads(
     payloads = reader.parquet(path)
     if folders and first is not None:
         payloads = payloads.where(_folders_in(first, last or first))
-    payloads = _stamped(payloads)
+    payloads = stamped(payloads)
     if first is not None:
         payloads = payloads.where(in_hours(F.col("stamp_ts"), first, last or first))
     return payloads
@@ -140,7 +141,7 @@ def stream_payloads(
     reader = spark.readStream.schema(schema).option("pathGlobFilter", PARQUET)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _stamped(reader.parquet(folder))
+    return stamped(reader.parquet(folder))
 
 
 def newest_payloads(payloads: DataFrame, stamp: Column | str = "stamp_ts") -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cityviews.functions.stamps import hour_stamp
-from cityviews.plans.registry import View
+from cityviews.plans.refresh import files_of, named, store_files
+from cityviews.plans.registry import VIEWS, View, stored_spec
 from cityviews.sinks.store import compact_view, create_view, source_batch, upsert_once
 
 
@@ -76,3 +77,49 @@ def refresh_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def follow_files(
+    files: DataFrame,
+    name: str,
+    folder: str,
+    path: str,
+    checkpoint: str,
+    compact_every: int | None = None,
+    cells: bool = False,
+    rule: str | None = None,
+) -> StreamingQuery:
+    """Upsert a stream of file names (``stream_files``) into a stored view, then stop.
+
+    Each micro-batch opens its own files, whatever types each of them has; for a view of means, all
+    files of the hours that it touches and no other. A view whose rows add up skips files
+    that it has counted, by whatever way they came.
+    """
+    view, spec = VIEWS[name], stored_spec(name, cells, rule)
+    spark = files.sparkSession
+    create_view(spark, spec, path)
+    stream = _stream_name(spark, checkpoint)
+
+    def publish(batch: DataFrame, number: int) -> None:
+        source, session = f"{stream}-{number}", batch.sparkSession
+        if compact_every and number and number % compact_every == 0:
+            if source_batch(session, spec, path, source) is None:
+                compact_view(session, spec, path)
+        arrived = named(batch)
+        if view.whole_hours:
+            arrived = touched_files(session, folder, arrived)
+        store_files(session, name, arrived, path, cells, rule, source=source)
+
+    return (
+        files.writeStream.foreachBatch(publish)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def touched_files(spark: SparkSession, folder: str, arrived: DataFrame) -> DataFrame:
+    """All files of a feed in the hours that ``arrived`` files lie in; found by name, none is opened."""
+    hour = hour_stamp(F.col("stamp_ts"))
+    touched = arrived.select(hour.alias("_hour")).distinct()
+    return files_of(spark, folder).withColumn("_hour", hour).join(touched, "_hour", "left_semi").drop("_hour")

@@ -255,3 +255,41 @@ def test_work_folder_is_shared(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert work_folder(spark, "x").startswith(shared)
     assert work_folder(spark, "x") != work_folder(spark, "x")
+
+
+def half(spark, spec, path, batch, source, *data):
+    """A batch whose job was lost while it wrote: some rows, no mark."""
+    store.upsert_view(frame(spark, *data), spec, path, batch, source)
+    for mark in Path(path, "log", "era=0", f"batch={batch}", f"source={source}").glob("*_SUCCESS*"):
+        mark.unlink()
+
+
+def test_a_half_written_batch_counts_only_once_it_is_whole(spark, tmp_path):
+    path = str(tmp_path / "v")
+    whole = [(f"2023-01-01_{i:03d}", i, 5) for i in range(100)]
+    store.create_view(spark, SPEC, path)
+    store.upsert_once(frame(spark, ("2023-01-01_x", 1, 1)), SPEC, path, "s-0")
+    half(spark, SPEC, path, 1, "s-1", *whole[:50])
+    assert state(spark, path) == {("2023-01-01_x", 1)} and store.next_batch(spark, SPEC, path) == 1
+    store.upsert_once(frame(spark, ("2023-01-01_y", 2, 2)), SPEC, path, "t-0")
+    store.compact_view(spark, SPEC, path)
+    assert store.source_batch(spark, SPEC, path, "s-1") is None
+    store.upsert_once(frame(spark, *whole), SPEC, path, "s-1")
+    assert len(state(spark, path)) == 102
+    store.compact_view(spark, SPEC, path)
+    assert len(state(spark, path)) == 102
+
+
+@pytest.mark.parametrize("period", [7, None])
+def test_compactions_leave_two_generations(spark, tmp_path, period):
+    spec, path = ViewSpec("sample", SCHEMA, period=period), str(tmp_path / "v")
+    store.create_view(spark, spec, path)
+    for i in range(12):
+        store.upsert_view(frame(spark, (f"2023-0{1 + i % 2}-01_{i}", i, 5)), spec, path, i, "s")
+        if i % 2:
+            store.compact_view(spark, spec, path)
+    log = list(Path(path, "log", "era=0").glob("batch=*"))
+    assert {p.name for p in log} == {"batch=10", "batch=11"}
+    bases = [p for p in Path(path, "base", "era=0").glob("upto=*" + ("/period=*" if period else ""))]
+    assert len(bases) <= 4 if period else len(bases) == 2
+    assert len(state(spark, path, spec)) == 12
