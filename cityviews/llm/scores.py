@@ -43,32 +43,31 @@ class Best:
     def __init__(self, ids: np.ndarray, floor: np.ndarray, k: int, ceiling: np.ndarray | None = None):
         self.ids, self.k, self.ceiling = ids, k, ceiling
         self.worst = floor.copy()          # a result must reach this
-        self.at = np.zeros(0, dtype=np.int64)
-        self.vec = np.zeros(0, dtype=np.int64)
-        self.score = np.zeros(0)
+        self.vec = np.zeros((len(ids), k), dtype=np.int64)
+        self.score = np.full((len(ids), k), -np.inf)
 
     def offer(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """``scores`` of vectors ``ids`` for queries ``rows``, no row twice."""
         ok = (scores >= self.worst[rows][:, None]) & (ids[None, :] != self.ids[rows][:, None])
         if self.ceiling is not None:
             ok &= scores <= self.ceiling[rows][:, None]
-        if not ok.any():
-            return
         i, j = np.nonzero(ok)
-        at = np.concatenate((self.at, rows[i]))
-        vec = np.concatenate((self.vec, ids[j]))
-        score = np.concatenate((self.score, scores[i, j]))
+        if not len(i):
+            return
+        hit, at = np.unique(rows[i], return_inverse=True)
+        at = np.concatenate((np.repeat(np.arange(len(hit)), self.k), at))
+        vec = np.concatenate((self.vec[hit].ravel(), ids[j]))
+        score = np.concatenate((self.score[hit].ravel(), scores[i, j]))
         order = np.lexsort((vec, -score, at))
-        at, vec, score = at[order], vec[order], score[order]
-        first = np.searchsorted(at, at)
-        keep = np.arange(len(at)) - first < self.k
-        self.at, self.vec, self.score = at[keep], vec[keep], score[keep]
-        n = np.bincount(self.at, minlength=len(self.ids))
-        full = np.flatnonzero(n >= self.k)
-        last = np.searchsorted(self.at, full, "right") - 1
-        self.worst[full] = np.maximum(self.worst[full], self.score[last])
+        at = at[order]
+        order = order[np.arange(len(at)) - np.searchsorted(at, at) < self.k]
+        self.vec[hit], self.score[hit] = vec[order].reshape(-1, self.k), score[order].reshape(-1, self.k)
+        self.worst[hit] = np.maximum(self.worst[hit], self.score[hit, -1])
 
     def rows(self):
-        return self.at, self.vec, self.score
+        """(row, vector, score) of all results, best first in each row."""
+        i, j = np.nonzero(self.score > -np.inf)
+        return i, self.vec[i, j], self.score[i, j]
 
 
 def loose(bound):

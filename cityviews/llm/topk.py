@@ -34,9 +34,10 @@ CENTRES = 64
 EACH = 512              # vectors for which there is one centre, up to CENTRES
 PART = 16_384           # vectors of a centre that one task holds
 QUERIES = 4_096         # queries that meet a part in one task
-LEAF = 32               # vectors that a node need not split
-QUERY_LEAF = 4
-FAN = 48                # children of a node
+LEAF = 256              # vectors that a node need not split
+QUERY_LEAF = 32
+FAN = 48                # children of a node, if they are within half its radius of all its points
+FEW = 4                 # children of a node that has none so near
 KEYS = ("dim", "centre", "chunk", "part")
 ROWS = "vec_id bigint, dim int, centre int, dist double, vec binary"
 
@@ -179,7 +180,8 @@ def cover_tree(x: np.ndarray, leaf: int) -> Node:
     """A node's children are points of it far apart, ``FAN`` at most, each with the points it is nearest to.
 
     They are picked until all points are within half the node's radius of one. Where ``FAN`` points
-    don't reach that far, as with many even dimensions, the radii of the children are what they are.
+    don't reach that far, as with many even dimensions, the first ``FEW`` part the node, and the radii of
+    the children are what they are.
     """
     top = Node(x, np.arange(len(x)), x[0])
     open_ = [top]
@@ -189,12 +191,16 @@ def cover_tree(x: np.ndarray, leaf: int) -> Node:
             continue
         part = x[node.rows]
         far, nearest = np.sqrt(((part - node.centre) ** 2).sum(1)), np.zeros(len(part), dtype=np.int64)
-        centres = [node.centre]
+        centres, few = [node.centre], nearest
         while len(centres) < FAN and far.max() > node.radius / 2:
             centres.append(part[far.argmax()])
             new = np.sqrt(((part - centres[-1]) ** 2).sum(1))
-            nearest[new < far] = len(centres) - 1
+            nearest = np.where(new < far, len(centres) - 1, nearest)
             far = np.minimum(far, new)
+            if len(centres) == FEW:
+                few = nearest
+        if far.max() > node.radius / 2:
+            centres, nearest = centres[:FEW], few
         node.children = [Node(x, node.rows[nearest == i], c) for i, c in enumerate(centres) if (nearest == i).any()]
         open_ += node.children
     return top
