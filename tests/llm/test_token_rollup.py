@@ -55,3 +55,18 @@ def test_awkward_rows(spark, tmp_path):
 
 def test_empty_table(spark, tmp_path):
     assert rollup_documents(awkward(spark, empty=True), PATH, str(tmp_path / "r")).count() == 0
+
+
+def test_compaction_keeps_totals_and_names(spark, tmp_path):
+    rollup = Rollup(spark, str(tmp_path / "r"))
+    rollup.compact()
+    kind = "source string, lang string, version string, op string, old_tokens bigint, new_tokens bigint"
+    for i in range(6):
+        changes = spark.createDataFrame([("s", None, "v", "insert", None, i), (None, "l", "v", "delete", 1, None)], kind)
+        assert rollup.commit(f"b{i}", changes)
+        if i % 2:
+            rollup.compact()
+        for j in range(i + 1):
+            assert not rollup.commit(f"b{j}", changes) if j in (0, i) else True
+    assert {tuple(r) for r in rollup.totals().collect()} == {("s", None, "v", 6, 15), (None, "l", "v", -6, -6)}
+    assert rollup._since(rollup._base()[0]).count() == 0
