@@ -95,28 +95,62 @@ def buckets_for(rows: int, each: int) -> int:
     return max(1, -(-rows // each))
 
 
-#: There are at most 2**CUTS ranges of ids.
+#: A level of cuts makes at most 2**CUTS ranges of each range before it.
 CUTS = 10
 
 
-def id_ranges(df: DataFrame, column: str, each: int) -> Column:
-    """A column that numbers ranges of ``column`` with about ``each`` rows, in order.
+def text_order(text: Column) -> Column:
+    """A number that spreads texts evenly; rows of one id are ordered by it."""
+    return F.xxhash64(text)
 
-    The cut points are quantiles over all rows, at most 2**CUTS - 1 of them, found by halving.
-    """
-    steps = max(0, min(CUTS, (df.count() // each).bit_length()))
-    if not steps:
-        return F.lit(0)
-    shares = [i / 2 ** steps for i in range(1, 2 ** steps)]
-    found = df.agg(F.percentile_approx(column, shares, 100_000)).first()[0]
-    cuts = F.lit(list(found or [0] * len(shares)))
-    halves = F.lit([2 ** (steps - 1 - i) for i in range(steps)])
 
-    def halve(low: Column, i: Column) -> Column:
-        half = F.get(halves, i)
-        return F.when(F.get(cuts, low + half - 1) <= F.col(column), low + half).otherwise(low)
+def id_ranges(df: DataFrame, key: str, order: str, each: int) -> DataFrame:
+    """``df`` with ``_r bigint``: numbered ranges, in order of ``key``, ``order``, of about ``each`` rows.
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(steps - 1)), F.lit(0), halve)
+    ``key`` and ``order`` are bigint without nulls; ``order`` is spread evenly over its type. Cut
+    points are quantiles of ``key`` over all rows, on two levels: ranges of the whole, then of each
+    range. A key that takes up several cut points is split evenly by ``order`` over the ranges
+    between them, so one key may hold any share of the rows. There are up to 2**(2 * CUTS) ranges,
+    so they keep their size up to two billion rows of ``each`` = 2,000 and grow slowly from there;
+    the cuts are at most 8 MB.
+    """
+    steps = (df.count() // each).bit_length()
+    first, second = min(CUTS, steps), min(CUTS, max(0, steps - CUTS))
+    if not steps:
+        return df.withColumn("_r", F.lit(0).cast("bigint"))
+
+    def quantiles(levels: int) -> Column:
+        return F.percentile_approx(key, [i / 2 ** levels for i in range(1, 2 ** levels)], 100_000)
+
+    def below(cuts: Column, levels: int, passed) -> Column:
+        """How many of the sorted cuts are passed."""
+        halves = F.lit([2 ** i for i in reversed(range(levels))])
+        return F.aggregate(halves, F.lit(0), lambda low, half: F.when(
+            passed(F.get(cuts, low + half - 1)), low + half).otherwise(low))
+
+    def split(rows: DataFrame, cuts: Column, levels: int) -> DataFrame:
+        """Adds ``_at``, the range, and makes ``_u`` the share within what the range has of the key."""
+        rows = rows.withColumn("_lo", below(cuts, levels, lambda cut: cut < F.col(key)))
+        rows = rows.withColumn("_hi", below(cuts, levels, lambda cut: cut <= F.col(key)))
+        rows = rows.withColumn("_u", F.col("_u") * (F.col("_hi") - F.col("_lo") + 1))
+        part = F.floor("_u")
+        return rows.withColumn("_at", F.col("_lo") + part).withColumn(
+            "_u", F.col("_u") - part).drop("_lo", "_hi")
+
+    found = df.agg(quantiles(first)).first()[0]
+    cuts = F.lit(list(found or [0] * (2 ** first - 1)))
+    share = (F.shiftright(order, 11) + 2 ** 52) / F.lit(2.0 ** 53)  # exact, and below 1
+    rows = split(df.withColumn("_u", share), cuts, first).withColumnRenamed("_at", "_r")
+    if second:
+        # which rows of a split key a cut is taken from does not matter, so texts are not read
+        drawn = split(df.select(key).withColumn("_u", F.rand(0)), cuts, first)
+        finer = drawn.groupBy(F.col("_at").alias("_of")).agg(quantiles(second).alias("_cuts"))
+        finer = F.broadcast(saved(finer, "cuts"))  # at most 2**CUTS rows of 2**CUTS numbers
+        rows = split(rows.join(finer, F.col("_r") == F.col("_of"), "left").withColumn(
+            "_cuts", F.coalesce("_cuts", F.array_repeat(F.lit(0).cast("bigint"), 2 ** second - 1))),
+            F.col("_cuts"), second)
+        rows = rows.withColumn("_r", F.col("_r") * 2 ** second + F.col("_at")).drop("_of", "_cuts", "_at")
+    return rows.drop("_u")
 
 
 def slices(batches, rows: int = 1024):

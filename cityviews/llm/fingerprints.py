@@ -14,11 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cityviews.llm.common import id_ranges
+from cityviews.llm.common import id_ranges, saved, text_order
 
 K = 128
 WORDS = 5
-EACH = 2_000     # rows of a range of ids, if there are few enough ranges
+EACH = 2_000     # rows of a range of ids
 
 
 def sketch(text: Column, k: int = K, words: int = WORDS) -> Column:
@@ -86,33 +86,41 @@ def fingerprint_edits(docs: DataFrame, k: int = K) -> DataFrame:
 
     The edited text has its last quarter (``floor(n_chars / 4)`` code points) replaced by as many
     code points, or all, from the start of the next document by ``doc_id``; the first follows the
-    last. Equal ids are ordered by text; a null id comes first.
+    last. Equal ids are ordered by the hash of their text, then by text; a null id comes first, as
+    the least id.
 
     Texts are shuffled once, by range of ids; only the first row of each range is fetched from
-    outside the range.
+    outside the range. Ranges grow in number with the rows, and rows of one id are split by the
+    hash of their text, so only rows equal in id and text must be one task's.
     """
     docs = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    docs = docs.withColumn("_r", id_ranges(docs, "doc_id", EACH))
-    heads = docs.groupBy("_r").agg(F.min(F.struct("doc_id", "text")).alias("_h"))
-    order = Window.orderBy("_r")  # one row per range
-    heads = heads.select(
+    docs = docs.select(
+        "doc_id", "text", F.coalesce("doc_id", F.lit(-2 ** 63)).alias("_k"),
+        text_order(F.col("text")).alias("_h"))
+    docs = id_ranges(docs, "_k", "_h", EACH)
+    heads = saved(docs.groupBy("_r").agg(F.min(F.struct("_k", "_h", "text")).alias("_m")).select(
+        "_r", F.col("_m.text").alias("_head")), "heads")
+    order = Window.orderBy("_r")  # one number per range
+    following = heads.select(
         F.col("_r").alias("_of"),
-        F.coalesce(F.lead("_h").over(order),
-                   F.first("_h").over(order.rowsBetween(
-                       Window.unboundedPreceding, Window.unboundedFollowing)))["text"].alias("_head"))
-    inside = Window.partitionBy("_r").orderBy("doc_id", "text")
+        F.coalesce(F.lead("_r").over(order),
+                   F.first("_r").over(order.rowsBetween(
+                       Window.unboundedPreceding, Window.unboundedFollowing))).alias("_then"))
+    heads = following.join(heads, F.col("_then") == F.col("_r")).select("_of", "_head")
+    inside = Window.partitionBy("_r").orderBy("_k", "_h", "text")
     rows = docs.repartition("_r").select(
-        "_r", "doc_id", "text", F.lead("text").over(inside).alias("_next"),
+        "_r", "_k", "_h", "doc_id", "text", F.lead("text").over(inside).alias("_next"),
         F.lead(F.lit(True)).over(inside).isNull().alias("_last"))
     rows = rows.join(heads, F.col("_r") == F.col("_of"), "left").select(
-        "_r", "doc_id", "text", F.when(F.col("_last"), F.col("_head")).otherwise(F.col("_next")).alias("_next"),
+        "_r", "_k", "_h", "doc_id", "text",
+        F.when(F.col("_last"), F.col("_head")).otherwise(F.col("_next")).alias("_next"),
         sketch(F.col("text"), k).alias("_a"), "_last", "_head")
     rows = rows.select(
         "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), "_next", "_a",
         F.when(F.col("_last"), sketch(F.col("_head"), k)).otherwise(
-            F.lead("_a").over(Window.partitionBy("_r").orderBy("doc_id", "text"))).alias("_c"),
+            F.lead("_a").over(inside)).alias("_c"),
         "text")
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
     rows = rows.select(

@@ -1,5 +1,6 @@
 import hashlib
 import re
+from collections import Counter
 
 import pytest
 import xxhash
@@ -7,6 +8,7 @@ from helpers import awkward, words_of
 from pyspark.sql import functions as F
 
 from cityviews.llm import fingerprints as P
+from cityviews.llm.common import id_ranges
 
 
 def brute_sketch(text, k=P.K, words=P.WORDS):
@@ -26,8 +28,13 @@ def brute_near(a, b, k=P.K):
     return 1.0 if not union else len(set(union) & set(a) & set(b)) / len(union)
 
 
+def spread(text):
+    h = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def brute(docs, k=P.K):
-    docs = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0, d[1]))
+    docs = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0, spread(d[1]), d[1]))
     out = []
     for i, (doc, text) in enumerate(docs):
         following = docs[(i + 1) % len(docs)][1]
@@ -54,6 +61,30 @@ def test_one_row_and_empty_table(spark):
     assert P.fingerprint_edits(awkward(spark, empty=True)).count() == 0
 
 
+def test_more_ranges_than_one_level_has(spark, monkeypatch):
+    """3,000 rows in some 2,000 ranges; one id holds half of the rows, nulls a tenth."""
+    monkeypatch.setattr(P, "EACH", 1)
+    docs = [(None if i % 10 == 0 else 77 if i % 2 else i * i % 5003, f"w{i % 2900} a b c d e f{i}")
+            for i in range(3_000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert sorted((tuple(r) for r in P.fingerprint_edits(df).collect()), key=repr) == brute(docs)
+
+
+def test_ranges_keep_order_and_split_one_id(spark):
+    df = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, 5).otherwise(F.xxhash64("id") % 9_973).cast("bigint").alias("k"),
+        F.xxhash64(F.col("id"), F.lit("x")).alias("h"))
+    for each in (2_000, 10):
+        rows = sorted((tuple(r) for r in id_ranges(df, "k", "h", each).select("k", "h", "_r").collect()))
+        assert len(rows) == 40_000
+        assert [r[2] for r in rows] == sorted(r[2] for r in rows)
+        sizes = Counter(r[2] for r in rows)
+        assert max(sizes.values()) <= 4 * each + 40
+        assert each > 10 or len(sizes) > 1_024
+    one = id_ranges(spark.range(9).select(F.lit(1).cast("bigint").alias("k"), F.col("id").alias("h")), "k", "h", 99)
+    assert {r._r for r in one.collect()} == {0}
+
+
 def test_estimates_and_merging(spark):
     a, b = words_of(1, 4000), words_of(1, 3000) + words_of(2, 1000)
     df = spark.createDataFrame(
