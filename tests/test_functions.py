@@ -33,11 +33,19 @@ def test_double_text_special_values(spark):
 
 
 def test_double_text_random(spark):
+    """100,000 doubles of any bits and 30,000 of usual size."""
     rng = random.Random(7)
-    values = [rng.uniform(-1e3, 1e3) * 10.0 ** rng.randint(-12, 12) for _ in range(20_000)]
+    values = [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(100_000)]
+    values += [rng.uniform(-1e3, 1e3) * 10.0 ** rng.randint(-12, 15) for _ in range(25_000)]
     values += [round(rng.uniform(-1e6, 1e6), rng.randint(0, 4)) for _ in range(5_000)]
-    wild = [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(5_000)]
-    values += [v for v in wild if 1e-300 < abs(v) < 1e16 or abs(v) > 1e26]
+    assert texts(spark, values, DoubleType(), pa.float64()) == [str(v) for v in values]
+
+
+def test_double_text_at_the_edges(spark):
+    """Powers of two and ten with their neighbours, and doubles of few bits."""
+    edges = [2.0 ** i for i in range(-1074, 1024)] + [float(f"{m}e{e}") for e in range(-323, 309) for m in (1, 5)]
+    values = [x for v in edges for x in (v, -v, math.nextafter(v, 0.0), math.nextafter(v, math.inf))]
+    values += [5e-324 * i for i in range(500)] + [2.2250738585072014e-308, 1.7976931348623157e308]
     assert texts(spark, values, DoubleType(), pa.float64()) == [str(v) for v in values]
 
 
